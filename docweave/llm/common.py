@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's source to the executors' Python workers, once a session, for where it is not installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_docweave_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    file = Path(tempfile.mkdtemp(prefix="docweave-")) / "docweave-source.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted((root / "docweave").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    sc.addPyFile(str(file))
+    sc._docweave_shipped = True
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage, and survives the loss of executors."""
     spark = df.sparkSession

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, tokens, urls
+from . import bpe, common, jaccard, mixing, substrings, tokens, urls
 
 #: Parameter: the vocabulary file of the token operators, by name.
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,7 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,6 +31,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
