@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, jaccard, mixing, substrings, tokens, urls
+from . import bpe, common, jaccard, linelabel, mixing, substrings, tokens, urls, vectors
 
 #: Parameter: the vocabulary file of the token operators, by name.
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +31,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return linelabel.judge(docs, linelabel.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
