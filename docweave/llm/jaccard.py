@@ -4,7 +4,7 @@
 each pivot in it and at 1 from all others, so its nearest regions are those of its own shingles. All shingles stand in
 one global order, very frequent ones last. If two sets share three quarters, the first shingle in this order that both
 hold is among the first n - ceil(3n/4) + 1 of either; a document is replicated to the regions of these pivots and to
-no more. Each region then yields pairs, or in a large one the pairs with its first member, that pass bounds on sizes,
+no more. Each region then yields pairs, or in a large one the pairs with a few of its members, that pass bounds on sizes,
 on places in the order, and on the distances to a fixed family of pivots (how many shingles fall in each class of a
 hash: no two sets differ by less than their counts do). Pairs that pass join documents to second-level regions. There a
 document is the pivot: what lies within 0.25 of it is linked, the rest is compared only inside the windows that the
@@ -26,8 +26,8 @@ from .frequent import bits_of, frequent, is_frequent
 
 #: Words of a shingle.
 SHINGLE = 5
-#: Members of a region of which all pairs are looked at; larger ones go by pivot.
-SMALL = 16
+#: Members of a region of which all pairs are looked at; larger ones go by so many pivots.
+SMALL, PIVOTS = 16, 5
 #: Documents of a second-level region that one task holds.
 REGION = 4000
 
@@ -284,12 +284,17 @@ def similar(docs: DataFrame, region: int = REGION, small: int = SMALL) -> DataFr
     reps = common.stored(nodes.where("n > 0 and doc_id is not null").groupBy("lo", "hi").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("classes").alias("classes")))
     members = made.where("h is not null").select("h", "lo", "n", "pos").join(reps.select("lo", "id"), "lo").select("h", "id", "n", "pos").distinct()
     members = common.stored(members)
-    counts = members.groupBy("h").agg(F.count("*").alias("c"), F.min_by(F.struct("id", "n", "pos"), "id").alias("first")).where("c > 1")
+    counts = members.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     members = common.stored(members.join(counts, "h"))
     few, many = members.where(F.col("c") <= small), members.where(F.col("c") > small)
-    x, y = few.drop("first").alias("x"), few.drop("first").alias("y")
+    x, y = few.alias("x"), few.alias("y")
     pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & _could("x", "y")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    stars = many.alias("y").where(F.col("first.id") < F.col("y.id")).where(_could("first", "y")).select(F.col("first.id").alias("a"), F.col("y.id").alias("b"))
+    # A large region has a few pivots of its own: its first, its last, and some by a hash.
+    order = ["id", -F.col("id"), *[F.xxhash64("id", F.lit(k)) for k in range(PIVOTS - 2)]]
+    pivots = many.groupBy("h").agg(F.array(*[F.min_by(F.struct("id", "n", "pos"), k) for k in order]).alias("p")).select("h", F.explode("p").alias("p"))
+    x, y = pivots.select("h", "p.*").distinct().alias("x"), many.alias("y")
+    stars = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") != F.col("y.id")) & _could("x", "y"))
+    stars = stars.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
     near = _near(pairs.unionByName(stars), reps)
     found = common.stored(common.components(near))
     # In a region with many members all pairs between different second-level regions are looked at: those outside its main one with all others.
