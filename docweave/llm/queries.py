@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, jaccard, linelabel, mixing, substrings, tokens, urls, vectors
+from . import bpe, common, jaccard, language, linelabel, mixing, quality, substrings, tokens, urls, vectors
 
 #: Parameter: the vocabulary file of the token operators, by name.
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linelabel.judge(docs, linelabel.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    model = language.learn(docs.where(~held_out))
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
