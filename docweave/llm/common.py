@@ -71,6 +71,13 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sampled(df: DataFrame, size: int) -> DataFrame:
+    """About `size` rows of df, or all if it has no more, by a hash of doc_id: nothing is sorted, shuffled or drawn anew."""
+    total = df.count()
+    share = 1.0 if total <= size else size / total
+    return df.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b): rows (id, component) with the smallest id reachable, for ids with an edge.
 

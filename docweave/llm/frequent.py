@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .common import sampled
 
 #: Bits of the map: the size of what is broadcast, whatever the input.
 BITS = 1 << 23
@@ -21,9 +22,7 @@ def frequent(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]]
     values gives each text's distinct 64-bit values. What is and isn't in the map may sway how work is dealt out and in
     which order values are tried, so only speed, never a result.
     """
-    total = docs.count()
-    share = 1.0 if total <= sample else sample / total
-    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text").repartition(4)
+    part = sampled(docs, sample).select("text").repartition(4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held = set(), []

@@ -11,7 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents that the field is fitted on, at most, by a hash of the id; longer texts than LINES lines are not drawn.
+from . import common
+
+#: Labelled documents that the field is fitted on, about, by a hash of the id; longer texts than LINES lines are not drawn.
 SAMPLE, LINES = 1200, 400
 #: Least share of a text's words that must stand in content lines.
 SHARE = 0.5
@@ -119,14 +121,14 @@ def fit_field(texts: list[tuple[np.ndarray, int]], rounds: int = 3, passes: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """A field fitted on at most `sample` labelled documents: labels has doc_id and quality (1 good, 0 bad).
+    """A field fitted on about `sample` labelled documents: labels has doc_id and quality (1 good, 0 bad).
 
     The sample is bounded by this parameter and by LINES lines a text; features are made on the executors. Without
     labels of both kinds the field calls every line content.
     """
-    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    drawn = docs.where("doc_id is not null and text is not null").select("doc_id", "text").join(known, "doc_id").where(F.regexp_count("text", F.lit("\n")) < LINES)
-    drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = common.sampled(labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")), sample)
+    drawn = docs.where("doc_id is not null and text is not null").select("doc_id", "text").join(F.broadcast(known), "doc_id")  # bounded by sample
+    drawn = drawn.where(F.regexp_count("text", F.lit("\n")) < LINES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

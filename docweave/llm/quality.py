@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Hashed features of the scorer, and the documents that it is trained on, at most, by a hash of the id.
+#: Hashed features of the scorer, and the documents that it is trained on, about, by a hash of the id.
 FEATURES, SAMPLE = 1 << 14, 6000
 
 
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
     patterns = voted.groupBy(*names).agg(F.count("*").alias("n")).toArrow().to_pandas()
     votes, counts = patterns[names].to_numpy(dtype=int), patterns["n"].to_numpy(dtype=float)
     weak = estimate(votes, counts)
-    drawn = docs.where("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    drawn = common.sampled(docs.where("text is not null").select("doc_id", "text"), sample)
     drawn, _ = _votes(common.stored(drawn))
     p = posterior(weak, names)
     train = _hashed(drawn.withColumn("p", p).select("text", "p"))
