@@ -121,14 +121,14 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", most_rules:
 
 
 def _joined(base: DataFrame, clean: DataFrame, default: str) -> DataFrame:
-    """The same by a join on the hosts above each URL's, for rules of any number."""
-    keyed = base.withColumn("_row", F.monotonically_increasing_id())
+    """The same by a join on the hosts above each distinct host and path, for rules of any number."""
+    names = base.where("host <> ''").select("host", "path").distinct()
     parts = F.split("host", r"\.")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    probes = keyed.where("host <> ''").select("_row", "path", F.explode(above).alias("host"))
-    named = clean.select("host", F.col("path").alias("start"), "verdict")
-    fits = probes.join(named, "host").where("startswith(path, start)")
-    length = F.struct(F.length("host") + F.length("start"), F.length("host"))
-    best = fits.groupBy("_row").agg(F.max_by(F.struct(F.concat("host", "start").alias("rule"), "verdict"), length).alias("b"))
-    out = keyed.join(best, "_row", "left")
+    probes = names.select("host", "path", F.explode(above).alias("above"))
+    known = clean.select(F.col("host").alias("above"), F.col("path").alias("start"), "verdict")
+    fits = probes.join(known, "above").where("startswith(path, start)")
+    length = F.struct(F.length("above") + F.length("start"), F.length("above"))
+    best = fits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("above", "start").alias("rule"), "verdict"), length).alias("b"))
+    out = base.join(best, ["host", "path"], "left")
     return out.select(*base.columns, F.col("b.rule").alias("rule"), F.coalesce(F.col("b.verdict"), F.lit(default)).alias("verdict"))
