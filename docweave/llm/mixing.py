@@ -83,14 +83,15 @@ def copies(docs: DataFrame, seed: int = 1) -> DataFrame:
     goal = goal.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
     name = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
     goal = goal.withColumn("offset", _digest(F.concat(F.lit(f"{seed}:"), name), 8) / F.lit(4294967296.0))
-    before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = sized.groupBy("source", "cell").agg(F.count("*").alias("n"))
-    cells = cells.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # One source may hold most cells, so the documents ahead of each are counted over all sources and the source's start is taken off.
+    cells = running(sized.groupBy("source", "cell").agg(F.count("*").alias("n")), [F.col("source").isNull(), F.col("source"), F.col("cell")], {"ahead": "n"})
+    starts = cells.groupBy("source").agg(F.min("ahead").alias("start"))
+    goal = goal.alias("g").join(starts.alias("s"), F.col("g.source").eqNullSafe(F.col("s.source"))).select("g.*", "start")
     same = cells["source"].eqNullSafe(goal["source"])
-    cells = cells.join(goal, same).select(goal["source"], "cell", "ahead", "source_size", "target", "rate", "offset")
+    cells = cells.join(goal, same).select(goal["source"], "cell", (F.col("ahead") - F.col("start")).alias("ahead"), "source_size", "target", "rate", "offset")
     rows = sized.alias("d").join(cells.alias("c"), (F.col("d.cell") == F.col("c.cell")) & F.col("d.source").eqNullSafe(F.col("c.source")))
     rows = rows.select("d.doc_id", "d.source", "d.size", "d.cell", "source_size", "target", "rate", "offset", "ahead")
-    own = Window.partitionBy("source", "cell").orderBy("doc_id")
+    own = Window.partitionBy("source", "cell").orderBy("doc_id", "size")
     rank = F.col("ahead") + F.row_number().over(own)
     crossed = F.floor(rank * F.col("rate") + F.col("offset")) - F.floor((rank - 1) * F.col("rate") + F.col("offset"))
     return rows.select("doc_id", "size", "source", "source_size", "target", crossed.cast("long").alias("copies"))

@@ -101,7 +101,7 @@ WITH sized AS (
     ('0x' || substr(md5('1:' || coalesce('s' || source, 'n')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
   FROM levels
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY cell, doc_id) AS r FROM cells
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY cell, doc_id, size) AS r FROM cells
 ), rated AS (
   SELECT r.*, g.source_size, g.target, g.start, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate
   FROM ranked r JOIN goal g ON r.source IS NOT DISTINCT FROM g.source
