@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
@@ -13,31 +13,36 @@ from pyspark.sql import functions as F
 TTL = 3_600_000
 
 
-def step(state: dict[str, Any] | None, caller: str, action: str, now: int, ttl: int = TTL) -> tuple[dict[str, Any] | None, bool | None, int]:
-    """One transition of one resource's lock: its state after, whether the call succeeded (None: the lock isn't held), and the count.
+def transitions(ttl: int = TTL) -> Callable[[dict[str, Any] | None, str, str, int], tuple[dict[str, Any] | None, bool | None, int]]:
+    """The transition function for a time to live. It is made here, so that it travels to executors that lack this package."""
 
-    acquire is reentrant for its caller and takes over a lock that has expired; release frees it at the last count;
-    ping extends it; count asks.
-    """
-    mine = state is not None and state["caller"] == caller and state["until"] > now
-    if action == "acquire":
-        if mine:
-            state = state | {"count": state["count"] + 1, "until": now + ttl}
-        elif state is None or state["until"] <= now or state["count"] <= 0:
-            state = {"caller": caller, "count": 1, "until": now + ttl}
-        else:
-            return state, False, 0
+    def step(state: dict[str, Any] | None, caller: str, action: str, now: int) -> tuple[dict[str, Any] | None, bool | None, int]:
+        """One transition of one resource's lock: its state after, whether the call succeeded (None: the lock isn't held), and the count.
+
+        acquire is reentrant for its caller and takes over a lock that has expired; release frees it at the last count;
+        ping extends it; count asks.
+        """
+        mine = state is not None and state["caller"] == caller and state["until"] > now
+        if action == "acquire":
+            if mine:
+                state = state | {"count": state["count"] + 1, "until": now + ttl}
+            elif state is None or state["until"] <= now or state["count"] <= 0:
+                state = {"caller": caller, "count": 1, "until": now + ttl}
+            else:
+                return state, False, 0
+            return state, True, state["count"]
+        if not mine:
+            return state, None, 0
+        if action == "release":
+            if state["count"] <= 1:
+                return None, True, 0
+            state = state | {"count": state["count"] - 1}
+            return state, False, state["count"]
+        if action == "ping":
+            state = state | {"until": now + ttl}
         return state, True, state["count"]
-    if not mine:
-        return state, None, 0
-    if action == "release":
-        if state["count"] <= 1:
-            return None, True, 0
-        state = state | {"count": state["count"] - 1}
-        return state, False, state["count"]
-    if action == "ping":
-        state = state | {"until": now + ttl}
-    return state, True, state["count"]
+
+    return step
 
 
 def replay(events: DataFrame, ttl: int = TTL) -> DataFrame:
@@ -48,6 +53,8 @@ def replay(events: DataFrame, ttl: int = TTL) -> DataFrame:
     """
     dealt = events.select("resource", "seq", "ms", "caller", "action").repartition("resource").sortWithinPartitions("resource", "ms", "seq")
 
+    step = transitions(ttl)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         resource, state = None, None
         for batch in batches:
@@ -55,7 +62,7 @@ def replay(events: DataFrame, ttl: int = TTL) -> DataFrame:
             for r in batch.itertuples(index=False):
                 if r.resource != resource:
                     resource, state = r.resource, None
-                state, ok, count = step(state, r.caller, r.action, r.ms, ttl)
+                state, ok, count = step(state, r.caller, r.action, r.ms)
                 rows.append((r.resource, r.seq, r.caller, r.action, ok, count))
             yield pd.DataFrame(rows, columns=["resource", "seq", "caller", "action", "ok", "count"]).astype({"ok": object})
 

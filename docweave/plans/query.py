@@ -23,23 +23,26 @@ def _compare(a: Column, op: str, b: Column) -> Column:
     return {"=": a == b, "!=": a != b, "<": a < b, "<=": a <= b, ">": a > b, ">=": a >= b}[op]
 
 
-def compile_query(query: dict | str | None, schema: T.StructType) -> Column:
-    """The query over rows of that schema; None matches everything. Unknown fields and bad comparisons raise before any job."""
+def compile_query(query: dict | str | None, schema: T.StructType, loose: bool = False) -> Column:
+    """The query over rows of that schema; None matches everything. Unknown fields and bad comparisons raise before any job.
+
+    loose: null may stand for no match, which is enough for a filter; comparisons then stay bare and can reach the scan.
+    """
     query = json.loads(query) if isinstance(query, str) else query
-    return F.lit(True) if query is None else _query(query, root(schema))
+    return F.lit(True) if query is None else _query(query, root(schema), loose)
 
 
 def matching(df: DataFrame, query: dict | str | None) -> DataFrame:
     """The rows that match; the cheap conjuncts reach the scan, as Catalyst splits the condition."""
-    return df if query is None else df.where(compile_query(query, df.schema))
+    return df if query is None else df.where(compile_query(query, df.schema, loose=True))
 
 
-def _query(q: dict, at: Node) -> Column:
+def _query(q: dict, at: Node, loose: bool = False) -> Column:
     if not isinstance(q, dict) or not q:
         raise DocumentError(INVALID_QUERY, repr(q))
     if "$and" in q or "$or" in q:
         key = "$and" if "$and" in q else "$or"
-        parts = [_query(x, at) for x in q[key]]
+        parts = [_query(x, at, loose) for x in q[key]]
         if not parts:
             raise DocumentError(INVALID_QUERY, f"{key} of nothing")
         return reduce((lambda a, b: a & b) if key == "$and" else (lambda a, b: a | b), parts)
@@ -55,11 +58,11 @@ def _query(q: dict, at: Node) -> Column:
         raise DocumentError(INVALID_QUERY, json.dumps(q))
     op = q["op"]
     if op in MEMBERSHIP:
-        inside = _in_field(q, at) if "rfield" in q else _in_values(q, at)
+        inside = _in_field(q, at) if "rfield" in q else _in_values(q, at, loose and MEMBERSHIP[op])
         return inside if MEMBERSHIP[op] else ~inside
     if op not in OPERATORS:
         raise DocumentError(INVALID_QUERY, f"operator {op}")
-    return _fields(q, OPERATORS[op], at) if "rfield" in q else _value(q, OPERATORS[op], at)
+    return _fields(q, OPERATORS[op], at) if "rfield" in q else _value(q, OPERATORS[op], at, loose)
 
 
 def _each(node: Node, test) -> Column:
@@ -71,7 +74,7 @@ def _each(node: Node, test) -> Column:
     return test(node)
 
 
-def _value(q: dict, op: str, at: Node) -> Column:
+def _value(q: dict, op: str, at: Node, loose: bool) -> Column:
     path, value = parse(q["field"]), q.get("rvalue")
     if value is None:
         if op not in ("=", "!="):
@@ -85,20 +88,24 @@ def _value(q: dict, op: str, at: Node) -> Column:
     def test(node: Node) -> Column:
         if op not in ("=", "!=") and not can_order(node.kind):
             raise DocumentError(INVALID_COMPARISON, f"{op} of {node.kind.simpleString()}")
-        return two_valued(_compare(node.column, "=" if op == "!=" else op, literal(value, node.kind)))
+        known = literal(value, node.kind)
+        if op == "!=" or (op == "=" and not loose):
+            return node.column.eqNullSafe(known)  # never null, and the scan can use it negated too
+        found = _compare(node.column, op, known)
+        return found if loose else two_valued(found)
 
     found = bind(at, path, lambda n: _each(n, test))
     return ~found if op == "!=" else found
 
 
-def _in_values(q: dict, at: Node) -> Column:
+def _in_values(q: dict, at: Node, loose: bool) -> Column:
     listed = q.get("values")
     if not isinstance(listed, list):
         raise DocumentError(INVALID_QUERY, "values must be a list")
 
     def test(node: Node) -> Column:
         known = [literal(v, node.kind) for v in listed if v is not None]
-        found = two_valued(node.column.isin(*known)) if known else F.lit(False)
+        found = (node.column.isin(*known) if loose else two_valued(node.column.isin(*known))) if known else F.lit(False)
         return found | node.column.isNull() if None in listed else found
 
     return bind(at, parse(q["field"]), lambda n: _each(n, test))

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .operators import associate, coordination, mutate, versions
-from .plans import ordering, projection
-from .plans.query import compile_query, fields_read, matching
+from .plans import ordering, projection, request
+from .plans.query import fields_read, matching
+from .sources import catalog, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -388,10 +390,57 @@ def _(s, d):
     return table(s, d, "events").select("event_id", F.from_json("props", "k bigint").getField("k").alias("k"))
 
 
-@register("explain_filter", "SELECT 1 AS compiled")
+@register("explain_filter", "SELECT * FROM (VALUES ('o_orderstatus', true), ('o_totalprice', true), ('o_orderkey', false)) t(field, pushed)")
 def _(s, d):
-    df = table(s, d, "orders")
-    return s.range(1).select(F.lit(int(bool(str(compile_query(_F, df.schema))))).alias("compiled"))
+    query = {"$and": [_F, {"field": "o_totalprice", "op": ">", "rvalue": 1000}]}
+    told = request.explain(table(s, d, "orders"), query, {"field": "o_orderkey"})
+    return s.createDataFrame([(f, f in told["pushed"]) for f in told["fields"]], "field string, pushed boolean")
+
+
+# Requests, catalog, codecs.
+@register("find_request", "SELECT event_id, value FROM events WHERE event_type = 'purchase' AND value > 20 ORDER BY value DESC, event_id LIMIT 20 OFFSET 5")
+def _(s, d):
+    asked = {"objectType": "purchase", "query": {"field": "value", "op": ">", "rvalue": 20}, "projection": [{"field": "event_id"}, {"field": "value"}], "sort": {"value": "$desc"}, "range": [5, 24]}
+    return request.find(table(s, d, "events").withColumnRenamed("event_type", "objectType"), asked, key="event_id")[0]
+
+
+def _customer_versions(s: SparkSession, d: str) -> list[catalog.Version]:
+    schema = table(s, d, "customer").schema
+    old = schema.fieldNames()[:3]
+    return [
+        catalog.Version("customer", "1.0", T.StructType([schema[c] for c in old]).json(), "deprecated", access={"find": ["anyone"], "update": ["clerk"]}),
+        catalog.Version("customer", "2.0", T.StructType([*schema.fields, T.StructField("c_note", T.StringType())]).json(), access={"find": ["anyone"], "update": ["clerk", "chief"]}, field_access={"c_acctbal": {"find": ["chief"], "update": ["chief"]}}),
+    ]
+
+
+@register("find_version_view", "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey < 5")
+def _(s, d):
+    asked = {"query": {"field": "c_nationkey", "op": "<", "rvalue": 5}, "projection": {"field": "*", "recursive": True}}
+    return request.find(table(s, d, "customer"), asked, _customer_versions(s, d)[0], key="c_custkey")[0]
+
+
+@register("find_version_roles", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, NULL::VARCHAR AS c_note FROM customer WHERE c_nationkey < 5")
+def _(s, d):
+    asked = {"query": {"field": "c_nationkey", "op": "<", "rvalue": 5}, "projection": {"field": "*", "recursive": True}}
+    return request.find(table(s, d, "customer"), asked, _customer_versions(s, d)[1], {"clerk"}, "c_custkey")[0]
+
+
+@register("access_report", "SELECT * FROM (VALUES ('anyone', 'find', 'customer'), ('clerk', 'update', 'customer'), ('chief', 'update', 'customer,customer.c_acctbal'), ('chief', 'find', 'customer.c_acctbal')) t(role, operation, paths)")
+def _(s, d):
+    return catalog.access_rows(s, _customer_versions(s, d)).withColumn("paths", F.array_join("paths", ","))
+
+
+@register("json_round_trip", "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m%dT%H:%M:%S.000+0000') AS written, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS day FROM orders")
+def _(s, d):
+    docs = table(s, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+    text = documents.encode(docs)
+    back = documents.decode(text, "json", docs.schema)
+    return back.select("o_orderkey", "o_orderstatus", F.date_format(F.to_utc_timestamp("o_orderdate", F.current_timezone()), "yyyyMMdd'T'HH:mm:ss.SSS'+0000'").alias("written"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("day"))
+
+
+@register("json_loose", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def _(s, d):
+    return documents.loose(table(s, d, "events"), "props").select("event_id", F.try_variant_get("value", "$.k", "long").alias("k"))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
