@@ -78,11 +78,11 @@ def limited(spark: SparkSession, run: Callable[[], R], limit_ms: int | str | Non
     except ValueError:
         limit = TIME_LIMIT
     tag = f"limit-{uuid.uuid4().hex}"
-    timer = threading.Timer(limit / 1000, lambda: spark.interruptTag(tag))
-    spark.addTag(tag)
+    timer = threading.Timer(limit / 1000, lambda: spark.sparkContext.cancelJobsWithTag(tag))
+    spark.sparkContext.addJobTag(tag)
     timer.start()
     try:
         return run()
     finally:
         timer.cancel()
-        spark.removeTag(tag)
+        spark.sparkContext.removeJobTag(tag)
