@@ -11,12 +11,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .tokens import Encoder, _blocks
+from .tokens import Encoder, blocks, cuts_at_spaces
 
 #: The split pattern of byte-level BPE vocabularies without a pattern of their own (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Distinct pieces and words whose encodings a worker remembers before it starts afresh.
-REMEMBER = 1 << 19
+REMEMBER = 1 << 17
 
 
 def _byte_letters() -> dict[str, int]:
@@ -86,7 +86,7 @@ class Trie:
     def encode(self, words: list[bytes]) -> Iterator[list[int]]:
         """Encodings of sorted distinct words, in their order."""
         sound, fits = self.sound.get, self.fits
-        if len(fits) > 1 << 20:
+        if len(fits) > 1 << 18:
             fits.clear()
         last, back, before = [-1], [0], b""  # of each prefix of the word before: its last token and where that begins
         for word in words:
@@ -118,7 +118,7 @@ class Codec:
     """Encodes and decodes texts as the tokenizers library does with the same file (byte-level BPE, no normalizer)."""
 
     def __init__(self, path: str) -> None:
-        if not Encoder(path).stable:
+        if not cuts_at_spaces(path):
             raise ValueError("a byte-level BPE file without normalizer, prefix space or stripping special tokens is needed")
         self.trie, self.split = Trie(path), regex.compile(PATTERN)
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.trie.special, key=len, reverse=True)))) if self.trie.special else None
@@ -157,7 +157,7 @@ class Codec:
         i, cut = 0, [self.pieces(t) if t else [] for t in texts]
         while i < len(texts):
             j, need = i, set()
-            while j < len(texts) and len(need) < 1 << 17:
+            while j < len(texts) and len(need) < 1 << 15:
                 need.update(cut[j])
                 j += 1
             self.learn(need)
@@ -189,7 +189,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
         for whole in batches:
-            for batch in _blocks(whole):
+            for batch in blocks(whole):
                 ids = list(tool.encode(batch.column(1).fill_null("").to_pylist()))
                 ends = np.cumsum([0, *[len(x) // 4 for x in ids]])
                 flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
@@ -219,7 +219,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
         for whole in batches:
-            for batch in _blocks(whole):
+            for batch in blocks(whole):
                 texts = batch.column(1).fill_null("").to_pylist()
                 counts, digests, decoded, same = [], [], [], []
                 for text, ids in zip(texts, tool.encode(texts), strict=True):

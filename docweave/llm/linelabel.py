@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .tokens import blocks
 
 #: Labelled documents that the field is fitted on, about, by a hash of the id; longer texts than LINES lines are not drawn.
 SAMPLE, LINES = 1200, 400
@@ -170,7 +171,7 @@ def judge(docs: DataFrame, model: Field, share: float = SHARE) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole)):
             rows = []
             for text in batch.column(1).to_pylist():
                 text = text or ""
@@ -193,7 +194,7 @@ def keep_good(docs: DataFrame, model: Field, share: float = SHARE) -> DataFrame:
     """The rows of docs, all columns, that judge() keeps; each row is judged by its own text, without a join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, "text")):
             keep = []
             for text in batch.column(batch.schema.names.index("text")).to_pylist():
                 n, *_, repeat = base_measures(text or "")

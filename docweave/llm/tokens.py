@@ -16,7 +16,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Characters of a chunk, and of the overlap on each side of a cut.
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 #: Distinct pieces that a worker remembers before it starts afresh.
-REMEMBER = 1 << 19
+REMEMBER = 1 << 18
 #: White space by any library's reading.
 _BLANK = frozenset(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 #: White space before a space: then the space is no stable place.
@@ -24,6 +24,15 @@ _LOOSE = [c + " " for c in sorted(_BLANK)]
 _LOOSE_ASCII = [x for x in _LOOSE if x.isascii()]
 
 
+def cuts_at_spaces(path: str) -> bool:
+    """Whether a .json file is a byte-level BPE whose tokens never reach over a stable place (see Encoder)."""
+    with open(path, encoding="utf-8") as f:
+        form = json.load(f)
+    split, added = form.get("pre_tokenizer") or {}, form.get("added_tokens", [])
+    plain = all(not (a["lstrip"] or a["rstrip"] or a["single_word"]) and " " not in a["content"] for a in added)
+    return bool(plain and form.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True))
+
+
 class Encoder:
     """Counts and offsets by the library of one vocabulary file: tokenizers for .json, sentencepiece for .model.
 
@@ -48,11 +57,7 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.whole = lambda texts: [len(x.ids) for x in self.library.encode_batch(texts, add_special_tokens=False)]
-        with open(path, encoding="utf-8") as f:
-            form = json.load(f)
-        split, added = form.get("pre_tokenizer") or {}, form.get("added_tokens", [])
-        plain = all(not (a["lstrip"] or a["rstrip"] or a["single_word"]) and " " not in a["content"] for a in added)
-        self.stable = plain and form.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+        self.stable = cuts_at_spaces(path)
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at every stable place; joined, the pieces are the text."""
@@ -151,10 +156,10 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _blocks(batch: pa.RecordBatch, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def blocks(batch: pa.RecordBatch, column: str | int = 1, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with a few MB of text each, so that Python objects of one part at a time are in memory."""
     total = start = 0
-    for i, n in enumerate(pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist()):
+    for i, n in enumerate(pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()):
         total += n
         if total >= size:
             yield batch.slice(start, i + 1 - start)
@@ -174,7 +179,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         for whole in batches:
-            for batch in _blocks(whole):
+            for batch in blocks(whole):
                 texts = batch.column(1).fill_null("")
                 tokens = pa.array(tool.counts(texts.to_pylist()), pa.int64())
                 size = pa.compute.binary_length(texts).cast(pa.int64())
