@@ -165,6 +165,11 @@ class Codec:
                 yield b"".join(map(self.memo.__getitem__, pieces))
             i = j
 
+    def forget(self) -> None:
+        """Drop what is remembered: a reused worker goes on with other work."""
+        self.memo, self.words = {}, {}
+        self.trie.fits.clear()
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
 
@@ -194,6 +199,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 ends = np.cumsum([0, *[len(x) // 4 for x in ids]])
                 flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc_id", "ids"])
+        tool.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -229,5 +235,6 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                     decoded.append(hashlib.sha256(back.encode()).hexdigest())
                     same.append(back == text)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded), pa.array(same)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "lossless"])
+        tool.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, lossless boolean")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from . import common, words
 from .frequent import bits_of, frequent, is_frequent
+from .tokens import blocks
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -65,7 +66,7 @@ def _regions(docs: DataFrame, often: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bits_of(shared.value)
         done: set[int] = set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole)):
             nodes, tokens, owners, places, hots = [], [], [], [], []
             for own in shingle_sets(batch.column(1)):
                 n, (hi, lo) = len(own), _key(own)
@@ -112,7 +113,7 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
             keep = []
             for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("ca", "cb", "na", "nb")), strict=True):
                 p, q = np.frombuffer(x, dtype="<u2").astype(np.int32), np.frombuffer(y, dtype="<u2").astype(np.int32)
