@@ -17,33 +17,40 @@ from . import common
 FEATURES, SAMPLE = 1 << 14, 6000
 
 
-def labellers(text: Column) -> dict[str, Column]:
-    """Overlapping heuristics, each 1 (good), 0 (bad) or -1 (no vote), of a text that isn't null.
+def measures(text: Column) -> dict[str, Column]:
+    """What the labellers read of a text that isn't null. They stand in columns of their own, so each is worked out once."""
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    alone = lambda pattern: count(r"(?<![^\x20\x09-\x0D])" + pattern + r"(?![^\x20\x09-\x0D])")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
+    return {
+        "_size": F.greatest(F.length(text), F.lit(1)), "_n": F.greatest(common.word_count(text), F.lit(1)), "_kinds": F.size(F.array_distinct(F.split(text, r"[\x20\x09-\x0D]+"))),
+        "_symbols": count(r"[#*$%&|<>]"), "_bars": count(r"\|"), "_upper": count(r"\p{Lu}"), "_letters": count(r"\p{L}"), "_exclaimed": count("!"),
+        "_lines": F.size(lines), "_line_kinds": F.size(F.array_distinct(lines)), "_echoes": alone(r"(\p{L}+) \1"), "_prose": alone(r"\p{L}+[.,;:?]?"),
+        "_short": alone(r"\p{L}{1,3}[.,]?"), "_sentences": count(r"\p{Ll}[.?](\s|$)"), "_marks": count(r"[\p{P}\p{S}]"),
+    }
+
+
+def labellers() -> dict[str, Column]:
+    """Overlapping heuristics over the measures, each 1 (good), 0 (bad) or -1 (no vote).
 
     One that looks for a single fault abstains where it finds none. There are eleven,
     seven of which only know one fault, so at most 2 ** 7 * 3 ** 4 patterns of votes.
     """
-    size, n = F.greatest(F.length(text), F.lit(1)), F.greatest(common.word_count(text), F.lit(1))
-    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
-    alone = lambda pattern: count(r"(?<![^\x20\x09-\x0D])" + pattern + r"(?![^\x20\x09-\x0D])")
-    words = F.split(text, r"[\x20\x09-\x0D]+")
-    kinds = F.size(F.array_distinct(words))
+    n, size, kinds, c = F.col("_n"), F.col("_size"), F.col("_kinds"), F.col
     varied = kinds * 6 >= n
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
-    prose, short, sentences, marks = alone(r"\p{L}+[.,;:?]?"), alone(r"\p{L}{1,3}[.,]?"), count(r"\p{Ll}[.?](\s|$)"), count(r"[\p{P}\p{S}]")
     pick = lambda bad, good=F.lit(False): F.when(bad, 0).when(good, 1).otherwise(-1)
     return {
-        "symbols": pick(count(r"[#*$%&|<>]") * 25 > size),
-        "bars": pick(count(r"\|") * 5 > n),
-        "shouting": pick(count(r"\p{Lu}") * 2 > count(r"\p{L}")),
-        "exclamations": pick(count("!") * 5 > n),
-        "lines again": pick((F.size(lines) > 3) & (F.size(F.array_distinct(lines)) * 2 < F.size(lines))),
+        "symbols": pick(c("_symbols") * 25 > size),
+        "bars": pick(c("_bars") * 5 > n),
+        "shouting": pick(c("_upper") * 2 > c("_letters")),
+        "exclamations": pick(c("_exclaimed") * 5 > n),
+        "lines again": pick((c("_lines") > 3) & (c("_line_kinds") * 2 < c("_lines"))),
         "vocabulary": pick((n >= 30) & (kinds * 6 < n), (n >= 30) & (kinds * 5 > n * 2)),
-        "echoes": pick(count(r"(?<![^\x20\x09-\x0D])(\p{L}+) \1(?![^\x20\x09-\x0D])") * 6 > n),
-        "prose": pick(prose * 10 < n * 7, (prose * 10 > n * 9) & varied),
-        "short words": pick(short * 12 < n, (short * 4 > n) & varied),
-        "sentences": pick(sentences * 100 < n, sentences * 25 > n),
-        "marks": pick(marks * 12 > size),
+        "echoes": pick(c("_echoes") * 6 > n),
+        "prose": pick(c("_prose") * 10 < n * 7, (c("_prose") * 10 > n * 9) & varied),
+        "short words": pick(c("_short") * 12 < n, (c("_short") * 4 > n) & varied),
+        "sentences": pick(c("_sentences") * 100 < n, c("_sentences") * 25 > n),
+        "marks": pick(c("_marks") * 12 > size),
     }
 
 
@@ -111,9 +118,9 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def _votes(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    columns = labellers(F.col("text"))
+    read, columns = measures(F.col("text")), labellers()
     names = [f"v{i}" for i in range(len(columns))]
-    return docs.withColumns(dict(zip(names, columns.values(), strict=True))), names
+    return docs.withColumns(read).withColumns(dict(zip(names, columns.values(), strict=True))).drop(*read), names
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
