@@ -101,7 +101,7 @@ def _joined(s: words.Words, a: int, b: int, keep: np.ndarray | None = None) -> b
 
 
 def _spans(held: DataFrame) -> DataFrame:
-    """Rows (anchor, large, id, first, size, span) from rows (id, lo, text, runs): the words that the windows of each run cover."""
+    """Rows (anchor, large, id, lo, first, size, span) from rows (id, lo, text, runs): the words that the windows of each run cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,12 +113,12 @@ def _spans(held: DataFrame) -> DataFrame:
                         continue
                     whole = s.data[s.starts[a] : s.ends[b - 1]].tobytes().split()
                     for r in lists[k]:
-                        out.append((r["anchor"], r["large"], ids[k], r["first"], r["size"], b" ".join(whole[r["first"] : r["first"] + r["size"] + WINDOW - 1])))
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                columns = zip(*out, strict=True) if out else [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "large", "id", "first", "size", "span"])
+                        out.append((r["anchor"], r["large"], ids[k], los[k], r["first"], r["size"], b" ".join(whole[r["first"] : r["first"] + r["size"] + WINDOW - 1])))
+                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                columns = zip(*out, strict=True) if out else [()] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "large", "id", "lo", "first", "size", "span"])
 
-    return held.select("id", "lo", "text", "runs").mapInArrow(run, "anchor long, large boolean, id long, first int, size int, span binary")
+    return held.select("id", "lo", "text", "runs").mapInArrow(run, "anchor long, large boolean, id long, lo long, first int, size int, span binary")
 
 
 def _windows(span: bytes, size: int) -> list[bytes]:
@@ -129,34 +129,34 @@ def _windows(span: bytes, size: int) -> list[bytes]:
     return [span[starts[i] : ends[i + WINDOW - 1]] for i in range(size)]
 
 
-def subtree_repeats(suffixes: list[tuple[bytes, int, int]]) -> list[tuple[int, int]]:
-    """Of the suffixes (words cut at depth WINDOW, document, place) of one prefix, the places below a node of that depth that are not its first."""
+def subtree_repeats(suffixes: list[tuple[bytes, int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of the suffixes (words cut at depth WINDOW, document, its text's hash, place) of one prefix, the places below a node of that depth that are not its first."""
     suffixes = sorted(set(suffixes))
-    return [(x[1], x[2]) for before, x in zip(suffixes, suffixes[1:], strict=False) if before[0] == x[0]]
+    return [x[1:] for before, x in zip(suffixes, suffixes[1:], strict=False) if before[0] == x[0]]
 
 
 def _small_groups(spans: DataFrame) -> DataFrame:
-    """Removed windows (id, at) of anchors whose runs fit a task."""
-    dealt = spans.select("anchor", "id", "first", "size", "span").repartition(common.tasks(spans.sparkSession), "anchor").sortWithinPartitions("anchor")
+    """Removed windows (id, lo, at) of anchors whose runs fit a task."""
+    dealt = spans.select("anchor", "id", "lo", "first", "size", "span").repartition(common.tasks(spans.sparkSession), "anchor").sortWithinPartitions("anchor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, out = None, [], []
         for batch in batches:
-            for a, i, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, i, lo, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if a != now:
                     out += subtree_repeats(held)
                     now, held = a, []
-                held += [(w, i, first + k) for k, w in enumerate(_windows(span, size))]
+                held += [(w, i, lo, first + k) for k, w in enumerate(_windows(span, size))]
             if len(out) > 100_000:
                 yield _places(out)
                 out = []
         yield _places(out + subtree_repeats(held))
 
-    return dealt.mapInArrow(run, "id long, at int")
+    return dealt.mapInArrow(run, "id long, lo long, at int")
 
 
-def _places(out: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int32())], names=["id", "at"])
+def _places(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["id", "lo", "at"])
 
 
 def _large_groups(spans: DataFrame) -> DataFrame:
@@ -164,19 +164,19 @@ def _large_groups(spans: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(hashlib.sha256(w).digest()[:24], i, first + k) for i, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True) for k, w in enumerate(_windows(span, size))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32())], names=["key", "id", "at"])
+            rows = [(hashlib.sha256(w).digest()[:24], i, lo, first + k) for i, lo, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True) for k, w in enumerate(_windows(span, size))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int32())], names=["key", "id", "lo", "at"])
 
-    made = common.stored(spans.select("id", "first", "size", "span").mapInArrow(run, "key binary, id long, at int"))
+    made = common.stored(spans.select("id", "lo", "first", "size", "span").mapInArrow(run, "key binary, id long, lo long, at int"))
     salts = 16
-    firsts = made.groupBy("key").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = made.groupBy("key").agg(F.min(F.struct("id", "lo", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = firsts.select("key", "first", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     again = made.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).join(firsts, ["key", "salt"])
-    return again.where((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at"))).select("id", "at")
+    return again.where(F.struct("id", "lo", "at") != F.col("first")).select("id", "lo", "at")
 
 
 def _removed(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Documents (doc_id, n_words, hi, lo, sha); texts (id, lo, text) that may hold repeats; the first document (id) of each word sequence (hi, lo); cuts (id, places)."""
+    """Documents (doc_id, n_words, hi, lo, sha); texts (id, lo, text) that may hold repeats; the first document (id) of each word sequence (hi, lo); cuts (id, lo, places)."""
     spark = docs.sparkSession
     made = _survey(docs, frequent(docs, _anchors))
     salt = F.when(F.col("anchor").isNull(), F.xxhash64("lo", "doc_id")).when(F.col("hot"), F.pmod("lo", F.lit(64))).otherwise(F.lit(0))
@@ -197,7 +197,7 @@ def _removed(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame, DataFra
     texts = common.stored(texts.select("id", "lo", "text", "runs"))
     spans = common.stored(_spans(texts))
     found = _small_groups(spans.where("not large")).unionByName(_large_groups(spans.where("large")))
-    cuts = found.groupBy("id").agg(F.collect_set("at").alias("places"))
+    cuts = found.groupBy("id", "lo").agg(F.collect_set("at").alias("places"))
     return nodes, texts.select("id", "lo", "text"), reps, cuts
 
 
@@ -217,7 +217,8 @@ def digests(docs: DataFrame, group: int = GROUP) -> DataFrame:
     earlier: in a document with a smaller doc_id, or before it in the same one; windows are those of the input. The
     kept words, joined by one space, give the digest. Documents with the same words as an earlier one lose all of
     them if they fill a window, and are no candidates themselves. Null and empty texts have no words. Rows repeated
-    with one doc_id and text are one document to each other; a null doc_id is left whole and nothing is removed for its
+    with one doc_id and text are one document to each other; different texts under one doc_id are documents of their own,
+    in the order of a hash; a null doc_id is left whole and nothing is removed for its
     sake. An empty table gives no rows; other columns are ignored.
     """
     nodes, texts, reps, cuts = _removed(docs, group)
@@ -234,7 +235,7 @@ def digests(docs: DataFrame, group: int = GROUP) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, kinds, strict=True)], names=["id", "lo", "cut", "cut_sha"])
 
-    after = texts.join(cuts, "id").select("id", "lo", "text", "places").mapInArrow(run, "id long, lo long, cut long, cut_sha string")
+    after = texts.join(cuts, ["id", "lo"]).select("id", "lo", "text", "places").mapInArrow(run, "id long, lo long, cut long, cut_sha string")
     after = after.dropDuplicates(["id", "lo"])
     return _results(nodes, reps, after)
 
@@ -262,32 +263,39 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     nodes, _, reps, cuts = _removed(docs, group)
     able = nodes.where("doc_id is not null and n_words > 0").select("doc_id", "n_words", "lo", "hi").distinct()
     salts = 16
-    named = reps.join(cuts, "id", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    named = reps.join(cuts, ["id", "lo"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = able.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).join(named, ["lo", "hi", "salt"])
     copy = (F.col("doc_id") > F.col("id")) & (F.col("n_words") >= WINDOW)
     plan = keyed.select(F.col("doc_id").alias("_id"), F.col("lo").alias("_lo"), copy.alias("_copy"), F.when(F.col("doc_id") == F.col("id"), F.col("places")).alias("_places")).where("_copy or _places is not null")
     names = docs.columns
-    joined = docs.join(plan, docs["doc_id"] == F.col("_id"), "left")
     at = names.index("text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            los: list[int | None] = [None] * batch.num_rows
+            for s in words.slices(batch.column(at), lower=False):
+                for k, (a, b) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True), s.first):
+                    los[k] = _key(s, a, b)[1] if b > a else None
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(los, pa.int64())], names=[*names, "_own"])
+
+    keyed = docs.mapInArrow(key, f"{schema}, _own long")
+    joined = keyed.join(plan, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_lo")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, los, copies, lists = (batch.column(c).to_pylist() for c in ("_id", "_lo", "_copy", "_places"))
+            ids, copies, lists = (batch.column(c).to_pylist() for c in ("_id", "_copy", "_places"))
             texts, keep = batch.column(at).to_pylist(), [True] * batch.num_rows
             for s in words.slices(batch.column(at), lower=False):
                 for k, (a, b) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True), s.first):
                     if ids[k] is None:
                         continue
-                    if b <= a or _key(s, a, b)[1] != los[k]:
-                        keep[k] = None  # the plan is for another row with this id
-                        continue
                     gone = np.ones(b - a, bool) if copies[k] else _gone(lists[k], b - a)
                     keep[k] = not gone.all()
                     edges = np.r_[s.starts[a:b], s.ends[b - 1]]
                     texts[k] = b"".join(s.data[edges[i] : edges[i + 1]].tobytes() for i in np.flatnonzero(~gone)).decode()
             columns = [c if i != at else pa.array(texts, pa.string()) for i, c in enumerate(batch.columns[: len(names)])]
             out = pa.RecordBatch.from_arrays(columns, names=names)
-            yield out.filter(pa.array([x is True for x in keep]))
+            yield out.filter(pa.array(keep, pa.bool_()))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.mapInArrow(run, schema)

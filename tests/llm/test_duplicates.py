@@ -50,6 +50,24 @@ def test_remove_repeats_keeps_columns_and_drops_what_is_left_empty(spark):
     assert ids == {i for i, (n, cut, _) in want.items() if n == 0 or cut < n} | {None}
 
 
+@pytest.mark.parametrize("group", [4000, 0])
+def test_two_texts_under_one_id(spark, group):
+    """A cut text shares its id with a shorter clean one, a short copy, a null and an empty one."""
+    line = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    passage, cut, clean = line("p", 30), f"{line('h', 40)} {line('p', 30)} end", line("c", 25)
+    same, other = f"{line('q', 24)} x", f"{line('q', 24)} y z"  # at the same places under one id
+    table = [(0, "a b"), (1, passage), (2, cut), (2, clean), (2, "a b"), (2, None), (2, ""), (3, same), (3, other)]
+    df = frame(spark, [(i, t, None, None, None, k, "c", "t") for k, (i, t) in enumerate(table)])
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substrings.digests(df, group).collect())
+    late = [r for r in got if r[0] == 3]
+    assert [r for r in got if r[0] < 3] == [(0, 2, 0), (1, 30, 0), (2, 0, 0), (2, 0, 0), (2, 2, 0), (2, 25, 0), (2, 71, 30)]
+    assert sorted(r[2] for r in late) == [0, 24]
+    kept = sorted((r.doc_id, r.text or "") for r in substrings.remove_repeats(df, group).collect())
+    left = f"{line('h', 40)} end"
+    assert [x for x in kept if x[0] < 3] == sorted([(0, "a b"), (1, passage), (2, left), (2, clean), (2, "a b"), (2, ""), (2, "")])
+    assert sorted(x[1] for x in kept if x[0] == 3) in (sorted([same, "y z"]), sorted(["x", other]))
+
+
 @pytest.mark.parametrize(("region", "small"), [(4000, 16), (3, 1), (2, 0), (0, 0)])
 def test_jaccard_matches_brute_force(spark, region, small):
     table = rows()
