@@ -195,6 +195,44 @@ def test_kneser_ney_is_a_distribution(spark):
         assert np.allclose(np.exp(model._log(keys, language.ORDER).astype(float)).sum(axis=0), 1, atol=1e-3)
 
 
+def test_languages_of_one_script_are_told_apart(spark):
+    """Letters that fell on one of five symbols, and words that differ by vowel signs alone."""
+    old = lambda c: (ord(c) * 0x9E3779B1 >> 7) % 5
+    letters = {k: [c for c in map(chr, range(0x430, 0x450)) if old(c) == k] for k in range(5)}
+    pairs = [(own[i], own[i + 1]) for own in letters.values() for i in range(0, len(own) - 1, 2)]
+    rng = random.Random(4)
+    text = lambda side: " ".join("".join(rng.choice(pairs)[side] for _ in range(5)) for _ in range(12))
+    sign = lambda s: " ".join(rng.choice("\u0915\u0916\u0917\u0918") + s for _ in range(12))
+    table = [(i, lang, t) for i, (lang, t) in enumerate((lang, t) for _ in range(20) for lang, t in (("bg", text(0)), ("ru", text(1)), ("hi", sign("\u093f")), ("mr", sign("\u093e"))))]
+    docs = spark.createDataFrame(table, "doc_id long, lang string, text string").repartition(3)
+    model = language.learn(docs.where("doc_id < 60"))
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, model).collect()}
+    assert got == {i: lang for i, lang, _ in table}
+
+
+def test_gathered_grams_grow_with_the_letters(spark, monkeypatch):
+    monkeypatch.setattr(language, "PART", 7)
+    texts = ["".join(map(chr, range(0x4E00 + k, 0x4E00 + k + 300))) for k in (0, 300)] + ["x" + chr(0x20000 + k) + "a" for k in range(60)]
+    docs = spark.createDataFrame([(i, "zh", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    want = Counter()
+    for t in texts:
+        s = [0, 0, 0, *map(ord, t), 0]
+        want.update(tuple(s[i : i + 4]) for i in range(len(s) - 3))
+    bits = language.BITS
+    got = {(r.first, r.key >> 2 * bits, r.key >> bits & (1 << bits) - 1, r.key & (1 << bits) - 1): r.n for r in language.gram_counts(docs).collect()}
+    assert got == want
+
+
+def test_tables_of_many_files_give_the_same(spark, monkeypatch):
+    df = frame(spark, rows()).select("doc_id", "lang", "text")
+    texts = [t for _, t, *_ in rows()[:40] if t]
+    want = language.learn(df).entropies(texts)
+    monkeypatch.setattr(language, "FILE", 50)
+    model = language.learn(df)
+    assert len(model.tables[3][0].files) > 8
+    assert np.allclose(model.entropies(texts), want, atol=1e-5)
+
+
 URLS = ["http://Example.NET/en/x?q=1#f", "https://sub.example.net/de/", "ftp://example.com/de/a#b", "http://a.example.com/dex", "HTTP://x.org/fr/", "http://notexample.com/de/", None, "", "no scheme", "a://", "://net/", "http://net", "http://evil.net#/x", "http://a.net?x/y", "x://y://z.net/en/", "http://ÜBER.net/", "http://example.net/en", "http:///en/", "a\n://b.net/x\ny"]
 
 
