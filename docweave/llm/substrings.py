@@ -1,12 +1,11 @@
-"""Operator 5: remove passages that stand earlier in the corpus, by prefix-partitioned suffix trees.
+"""Operator 5: remove passages that stand earlier in the corpus, by minimiser anchors and sorted or hashed windows.
 
 A window is WINDOW consecutive words. Windows that are equal also have equal anchors: an anchor is the smallest hash of
 the GRAM-word sequences inside. Neighbouring windows mostly share one, so a document is a few runs of windows by anchor,
-and only runs whose anchor stands elsewhere too can hold a repeat. The suffixes that start in such runs are split over
-tasks by prefix: by the anchor's words where one task can hold all its runs, and by the window itself, the longest prefix
-that matters, where not. A task sorts the suffixes of each group, which gives the leaves of their suffix tree from left
-to right; leaves whose common prefix reaches depth WINDOW hang below one internal node, a repeat, and all of them but the
-first in the corpus are removed. Groups split down to the window need no tree: their node is a minimum over equal keys.
+and only runs whose anchor stands elsewhere too can hold a repeat. The windows of such runs are split over tasks by the
+anchor where one task can hold all of them, and by a hash of the window itself where not. A task sorts the windows of each
+group: of equal neighbours all but the first in the corpus are removed. In groups split by the window's hash the first is
+a minimum over equal keys. No suffix tree is built.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from . import common, words
 from .frequent import bits_of, frequent, is_frequent
 
 WINDOW, GRAM = 20, 8
-#: Runs of one anchor that a task holds at once; an anchor with more is split by longer prefixes.
+#: Runs of one anchor that a task holds at once, with WINDOW - GRAM + 1 windows each; an anchor with more is split by whole windows.
 GROUP = 4000
 
 
@@ -175,6 +174,13 @@ def _large_groups(spans: DataFrame) -> DataFrame:
     return again.where(F.struct("id", "lo", "at") != F.col("first")).select("id", "lo", "at")
 
 
+def _groups(runs: DataFrame, group: int) -> DataFrame:
+    """Anchors whose runs may hold a repeat, and whether they are too large for a task: a run of a periodic text may have any number of windows."""
+    counts = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("size").alias("windows"), F.max("size").alias("longest"))
+    large = (F.col("n") > group) | (F.col("windows") > group * (WINDOW - GRAM + 1))
+    return counts.where((F.col("n") > 1) | (F.col("longest") > 1)).select("anchor", large.alias("large"))
+
+
 def _removed(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Documents (doc_id, n_words, hi, lo, sha); texts (id, lo, text) that may hold repeats; the first document (id) of each word sequence (hi, lo); cuts (id, lo, places)."""
     spark = docs.sparkSession
@@ -190,9 +196,7 @@ def _removed(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame, DataFra
     reps = common.stored(reps)
     runs = made.where("anchor is not null").select("anchor", "lo", "first", "size").distinct().join(reps.select("lo", "id"), "lo")
     runs = common.stored(runs)
-    counts = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.max("size").alias("longest"))
-    counts = counts.where((F.col("n") > 1) | (F.col("longest") > 1)).select("anchor", (F.col("n") > group).alias("large"))
-    lists = runs.join(counts, "anchor").groupBy("id", "lo").agg(F.collect_list(F.struct("anchor", "large", "first", "size")).alias("runs"))
+    lists = runs.join(_groups(runs, group), "anchor").groupBy("id", "lo").agg(F.collect_list(F.struct("anchor", "large", "first", "size")).alias("runs"))
     texts = docs.select("doc_id", "text").join(lists, F.col("doc_id") == F.col("id"))
     texts = common.stored(texts.select("id", "lo", "text", "runs"))
     spans = common.stored(_spans(texts))

@@ -50,6 +50,12 @@ def test_remove_repeats_keeps_columns_and_drops_what_is_left_empty(spark):
     assert ids == {i for i, (n, cut, _) in want.items() if n == 0 or cut < n} | {None}
 
 
+def test_groups_count_windows(spark):
+    """One long run of a periodic text is large, many short ones are not."""
+    runs = spark.createDataFrame([(1, 300), (2, 13), (2, 13), (3, 1), (4, 1), (4, 1), (4, 1)], "anchor long, size int")
+    assert {r.anchor: r.large for r in substrings._groups(runs, 2).collect()} == {1: True, 2: False, 4: True}
+
+
 @pytest.mark.parametrize("group", [4000, 0])
 def test_two_texts_under_one_id(spark, group):
     """A cut text shares its id with a shorter clean one, a short copy, a null and an empty one."""
