@@ -381,7 +381,7 @@ def _(s, d):
 def _(s, d):
     e = table(s, d, "events")
     action = F.when(F.col("event_type") == "purchase", "release").when(F.col("event_type") == "error", "ping").otherwise("acquire")
-    calls = e.select(F.concat(F.lit("r"), F.col("user_id") % 20).alias("resource"), F.col("event_id").alias("seq"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), F.concat(F.lit("c"), F.col("user_id") % 3).alias("caller"), action.alias("action"))
+    calls = e.select(F.concat(F.lit("r"), F.col("user_id")).alias("resource"), F.col("event_id").alias("seq"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), F.concat(F.lit("c"), F.col("event_id") % 3).alias("caller"), action.alias("action"))
     return coordination.replay(calls, 3_600_000)
 
 
