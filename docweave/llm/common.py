@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,28 +81,56 @@ def sampled(df: DataFrame, size: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+#: Edges that one task of components() holds: 16 bytes each, and a few arrays of that size.
+EDGES = 1 << 20
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of undirected edges (a, b), sorted, and the smallest node that each reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while len(x):
+        low = np.minimum(root[x], root[y])
+        np.minimum.at(root, root[x], low)
+        np.minimum.at(root, root[y], low)
+        while (root != (up := root[root])).any():
+            root = up
+        keep = root[x] != root[y]
+        x, y = x[keep], y[keep]
+    return nodes, nodes[root]
+
+
+def components(edges: DataFrame, per_task: int = EDGES) -> DataFrame:
     """Connected components of undirected edges (a, b): rows (id, component) with the smallest id reachable, for ids with an edge.
 
-    Alternates large-star and small-star steps until the edge set stands still; each round is one written table.
-    Sums are formed before the shuffle and the joins may be split, so one node may hold any share of the edges.
+    Alternates large-star and small-star steps until the edges stand still or are so few that one task of bounded size
+    can join them up; each round is one written table. Sums are formed before the shuffle and the joins may be split, so
+    one node may hold any share of the edges.
     """
-    pairs = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = None
-    for _ in range(rounds):
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in forest(*(np.concatenate(x) for x in zip(*held, strict=True)))], names=["id", "component"])
+
+    pairs, mark = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), None
+    while True:
+        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == mark or now[0] <= per_task:
+            break
+        mark = now
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = stored(small.unionByName(small_low.withColumnRenamed("m", "v")).distinct())
-        now = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         release(pairs)
         pairs = after
-        if now == mark:
-            break
-        mark = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    if now[0] <= per_task:
+        out = stored(pairs.coalesce(1).mapInArrow(run, "id long, component long"))
+        release(pairs)
+        return out
     rows = pairs.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return rows.unionByName(rows.select(F.col("component").alias("id"), "component").distinct())

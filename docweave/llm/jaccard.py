@@ -1,19 +1,25 @@
 """Operator 6: documents whose sets of word shingles have a Jaccard similarity of at least 0.75, by a metric-space join.
 
-1 - Jaccard is a metric. The first pivots are the sets of one shingle each: a document is at distance 1 - 1/n from
-each pivot in it and at 1 from all others, so its nearest regions are those of its own shingles. All shingles stand in
-one global order, very frequent ones last. If two sets share three quarters, the first shingle in this order that both
-hold is among the first n - ceil(3n/4) + 1 of either; a document is replicated to the regions of these pivots and to
-no more. Each region then yields pairs, or in a large one the pairs with a few of its members, that pass bounds on sizes,
-on places in the order, and on the distances to a fixed family of pivots (how many shingles fall in each class of a
-hash: no two sets differ by less than their counts do). Pairs that pass join documents to second-level regions. There a
-document is the pivot: what lies within 0.25 of it is linked, the rest is compared only inside the windows that the
-triangle inequality leaves, with whole sets. No step drops a pair that could be linked.
+1 - Jaccard is a metric. Documents without a common shingle are all at distance 1 from each other, where no pivot can
+tell them apart, so the join goes by three levels:
+
+1. The pivots are the sets of one shingle each. All shingles stand in one global order, very frequent ones last. If two
+   sets share three quarters, the first shingle in this order that both hold is among the first n - ceil(3n/4) + 1 of
+   either, so a document is replicated to the regions of these pivots and to no more.
+2. Each region takes two of its members as pivots. Members that could be linked to them, by sizes, places in the order and
+   counts of shingles by class of a hash (no two sets differ by less than their counts do), join them in one group. Where
+   a region's members then are of several groups, those of different groups are compared in blocks by the same bounds.
+3. A group is a region of whole sets. A task joins one exactly: what lies within 0.25 of a pivot is linked, the rest is
+   compared only inside the windows that the triangle inequality leaves. A group over the byte budget is split into the
+   Voronoi cells of several of its members; a document is replicated to each cell whose pivot is at most 0.5 farther than
+   its nearest. Cells are split again while that makes them smaller; one that stays too large is compared in blocks.
+
+No step drops a pair that could be linked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +33,12 @@ from .tokens import blocks
 
 #: Words of a shingle.
 SHINGLE = 5
-#: Members of a region of which all pairs are looked at; larger ones go by so many pivots.
-SMALL, PIVOTS = 16, 5
-#: Documents of a second-level region that one task holds.
-REGION = 4000
+#: Members of a region in one block.
+BLOCK = 1024
+#: Shingles of a group, of 8 bytes each, that one task holds, and the documents that split a larger one into cells.
+REGION, PIVOTS = 1 << 22, 8
+#: Levels of cells before what is still too large is compared in blocks.
+DEPTH = 4
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -60,41 +68,40 @@ def _classes(own: np.ndarray) -> bytes:
 
 
 def _regions(docs: DataFrame, often: bytes) -> DataFrame:
-    """A row a document (h null) and a row for each of its pivots: h, lo, n, pos, hot, doc_id, hi, classes."""
+    """A row a document (h null) and a row for each of its pivots: h, hi, lo, n, pos, hot, doc_id, classes."""
     shared = docs.sparkSession.sparkContext.broadcast(often)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bits_of(shared.value)
-        done: set[int] = set()
+        done: set[tuple[int, int]] = set()
         for batch in (part for whole in batches for part in blocks(whole)):
             nodes, tokens, owners, places, hots = [], [], [], [], []
             for own in shingle_sets(batch.column(1)):
-                n, (hi, lo) = len(own), _key(own)
-                nodes.append((n, hi, lo, _classes(own)))
-                if not n or lo in done:
+                n, key = len(own), _key(own)
+                nodes.append((n, *key, _classes(own)))
+                if not n or key in done:
                     continue
-                done.add(lo)
+                done.add(key)
                 hot = is_frequent(bits, own)
                 first = n - (3 * n + 3) // 4 + 1
                 cold = own[~hot][:first]
                 rest = own[hot][: first - len(cold)]
                 tokens += [cold, rest]
-                owners.append((lo, n, first))
+                owners.append((*key, n, first))
                 places.append(np.arange(first, dtype=np.int32))
                 hots += [np.zeros(len(cold), bool), np.ones(len(rest), bool)]
             n, hi, lo, classes = zip(*nodes, strict=True) if nodes else ((), (), (), ())
             void = [pa.nulls(len(nodes), t) for t in (pa.int64(), pa.int32(), pa.bool_())]
-            yield pa.RecordBatch.from_arrays([void[0], pa.array(lo, pa.int64()), pa.array(n, pa.int64()), void[1], void[2], batch.column(0), pa.array(hi, pa.int64()), pa.array(classes, pa.binary())], names=_NAMES)
+            yield pa.RecordBatch.from_arrays([void[0], pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(n, pa.int64()), void[1], void[2], batch.column(0), pa.array(classes, pa.binary())], names=_NAMES)
             if owners:
-                times = [x[2] for x in owners]
+                times = [x[3] for x in owners]
                 h = np.concatenate(tokens).view(np.int64)
-                void = [pa.nulls(len(h), t) for t in (pa.int64(), pa.int64(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.repeat([x[0] for x in owners], times)), pa.array(np.repeat([x[1] for x in owners], times)), pa.array(np.concatenate(places)), pa.array(np.concatenate(hots)), *void], names=_NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array(h), *[pa.array(np.repeat([x[k] for x in owners], times)) for k in range(3)], pa.array(np.concatenate(places)), pa.array(np.concatenate(hots)), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.binary())], names=_NAMES)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "h long, lo long, n long, pos int, hot boolean, doc_id long, hi long, classes binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "h long, hi long, lo long, n long, pos int, hot boolean, doc_id long, classes binary")
 
 
-_NAMES = ["h", "lo", "n", "pos", "hot", "doc_id", "hi", "classes"]
+_NAMES = ["h", "hi", "lo", "n", "pos", "hot", "doc_id", "classes"]
 
 
 def _could(a: str, b: str):
@@ -109,7 +116,7 @@ def _could(a: str, b: str):
 
 def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The distinct pairs (a, b) whose class counts differ by no more than linked sets may differ."""
-    left, right = reps.select(F.col("id").alias("a"), F.col("classes").alias("ca"), F.col("n").alias("na")), reps.select(F.col("id").alias("b"), F.col("classes").alias("cb"), F.col("n").alias("nb"))
+    left, right = reps.select(F.col("node").alias("a"), F.col("classes").alias("ca"), F.col("n").alias("na")), reps.select(F.col("node").alias("b"), F.col("classes").alias("cb"), F.col("n").alias("nb"))
     both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,6 +133,67 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return common.stored(both.select("a", "b", "ca", "cb", "na", "nb").mapInArrow(run, "a long, b long"))
 
 
+def block_pairs(node: np.ndarray, n: np.ndarray, pos: np.ndarray, part: np.ndarray, own: np.ndarray, i: int, j: int, classes: list[bytes]) -> list[tuple[int, int]]:
+    """The pairs of members of blocks i and j, of different groups, that pass the bounds on sizes, places and class counts."""
+    out, by_length = [], {}
+    for k, c in enumerate(classes):
+        by_length.setdefault(len(c) // 2, []).append(k)
+    tables = {size: (np.array(ks), np.frombuffer(b"".join(classes[k] for k in ks), dtype="<u2").reshape(len(ks), size).astype(np.int32)) for size, ks in by_length.items()}
+    for size, (left, x) in tables.items():
+        for other in (size, 2 * size):  # of linked sets one has at most twice the classes of the other
+            if other not in tables:
+                continue
+            right, y = tables[other]
+            y = y.reshape(len(y), size, -1).sum(axis=2)
+            full = y.max(axis=1) >= 65535
+            for k, row in zip(left.tolist(), x, strict=True):
+                able = (part[right] != part[k]) & (4 * n[right] >= 3 * n[k]) & (4 * n[k] >= 3 * n[right]) & (7 * np.minimum(n[right] - pos[right], n[k] - pos[k]) >= 3 * (n[right] + n[k]))
+                able &= (own[right] == j) if own[k] == i else (own[right] == i)
+                if size == other:
+                    able &= right > k
+                at = np.flatnonzero(able)
+                if len(at):
+                    far = 7 * np.abs(y[at] - row).sum(axis=1) > n[right[at]] + n[k]
+                    at = at[~far | full[at] | (row.max() >= 65535)]
+                    out += [(min(int(node[k]), b), max(int(node[k]), b)) for b in node[right[at]].tolist()]
+    return out
+
+
+def _across(mixed: DataFrame, block: int) -> DataFrame:
+    """Pairs (a, b) between the groups of each region that could be linked, from rows (h, c, node, n, pos, part, classes); c: the region's members."""
+    keys = ["h", "i", "j"]
+    count = F.ceil(F.col("c") / block).cast("int")
+    cut = mixed.withColumns({"blocks": count, "own": F.pmod(F.xxhash64("node"), count).cast("int")})
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    dealt = cut.select(*keys, "own", "node", "n", "pos", "part", "classes").repartition(common.tasks(mixed.sparkSession), *keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, out = None, [], set()
+
+        def compare() -> None:
+            if len(held) > 1:
+                own, node, n, pos, part, classes = zip(*held, strict=True)
+                out.update(block_pairs(np.array(node), np.array(n), np.array(pos), np.array(part), np.array(own), now[1], now[2], classes))
+
+        for batch in batches:
+            for h, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (h, i, j) != now:
+                    compare()
+                    now, held = (h, i, j), []
+                    if len(out) > 200_000:
+                        yield _pairs(out)
+                        out = set()
+                held.append(row)
+        compare()
+        yield _pairs(out)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(out: Collection[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+
 class _Sets:
     """Sets of one region, and how many members each shares with a given one."""
 
@@ -186,92 +254,121 @@ def region_links(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]
 
 
 def _in_region(rows: DataFrame) -> DataFrame:
-    """Links (a, b) inside the regions of rows (component, id, lo, text); every region fits a task."""
-    spread = rows.select("component", "id", "lo", "text").repartition(common.tasks(rows.sparkSession), "component").sortWithinPartitions("component", "id")
-
-    def links(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if len(held) > 1:
-            found = region_links(list(held), list(held.values()))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+    """Links (a, b) inside the regions of rows (region, node, hi, lo, text); every region fits a task."""
+    spread = rows.select("region", "node", "hi", "lo", "text").repartition(common.tasks(rows.sparkSession), "region").sortWithinPartitions("region", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {}
-        for batch in batches:
-            for c, i, lo, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(3)), strict=True):
+        for batch in (part for whole in batches for part in blocks(whole, "text")):
+            for c, node, hi, lo, own in zip(*(batch.column(k).to_pylist() for k in range(4)), shingle_sets(batch.column(4)), strict=True):
                 if c != now:
-                    yield from links(held)
+                    if len(held) > 1:
+                        yield _pairs(region_links(list(held), list(held.values())))
                     now, held = c, {}
-                if _key(own)[1] == lo:
-                    held[i] = own
-        yield from links(held)
+                if _key(own) == (hi, lo):  # another text under the same id is no member
+                    held[node] = own
+        if len(held) > 1:
+            yield _pairs(region_links(list(held), list(held.values())))
 
     return spread.mapInArrow(run, "a long, b long")
 
 
-def _large_regions(rows: DataFrame, block: int = 1000) -> DataFrame:
-    """Links inside regions that no task should hold, from rows (component, id, lo, text).
+def _cells(rows: DataFrame, level: int) -> DataFrame:
+    """The Voronoi cells of each region of rows (region, node, n, hi, lo, text, bytes), with the documents in their windows.
 
-    Every member is compared with the region's first document, spread over all tasks. What lies outside its ball is
-    then compared, in blocks, with the whole of the outside and with the part of the ball in its window.
+    Rows (region, node, n, hi, lo, text, pivot, far, linked, before): far is the distance to the cell's pivot, before the shingles of the region that was split.
     """
-    salts = 64
-    first = rows.where("id = component").select("component", F.col("text").alias("pivot"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    joined = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).join(first, ["component", "salt"])
+    salts = 64  # a region may hold any share of the rows
+    pick = F.array_distinct(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(level * PIVOTS + k))) for k in range(PIVOTS)]))
+    chosen = rows.groupBy("region").agg(pick.alias("nodes")).select("region", F.explode("nodes").alias("node"))
+    pivots = rows.select("region", "node", "hi", "lo", "text").join(chosen, ["region", "node"])
+    pivots = pivots.groupBy("region").agg(F.collect_set(F.struct("node", "hi", "lo", "text")).alias("pivots"))  # at most PIVOTS
+    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")).join(pivots, ["region", "salt"])
 
-    def distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pivots: dict[str, np.ndarray] = {}
-            far, linked, right = [], [], []
-            for own, lo, text in zip(shingle_sets(batch.column(3)), batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                if text not in pivots:
-                    pivots[text] = next(shingle_sets(pa.array([text])))
-                p = pivots[text]
-                both = len(np.intersect1d(p, own, assume_unique=True))
-                union = len(p) + len(own) - both
-                far.append(1 - both / max(1, union))
-                linked.append(100 * both >= 75 * union)
-                right.append(_key(own)[1] == lo)
-            out = pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(far, pa.float64()), pa.array(linked, pa.bool_())], names=["component", "id", "lo", "text", "far", "linked"])
-            yield out.filter(pa.array(right, pa.bool_()))
-
-    measured = common.stored(joined.select("component", "id", "lo", "text", "pivot").mapInArrow(distance, "component long, id long, lo long, text string, far double, linked boolean").dropDuplicates(["id", "lo"]))
-    stars = measured.where("linked and id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
-    outside = measured.where("not linked").groupBy("component").agg(F.min("far").alias("nearest"), F.count("*").alias("n_out"))
-    kept = measured.where("id <> component").join(outside, "component").where("not linked or far >= nearest - 0.250000001")
-    counts = kept.groupBy("component").agg(F.count("*").alias("n_all"))
-    kept = kept.join(counts, "component")
-    own = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    i, j = F.ceil(F.col("n_out") / block).cast("int"), F.ceil(F.col("n_all") / block).cast("int")
-    kept = kept.withColumns({"ni": i, "nj": j, "i": F.pmod(own, i).cast("int"), "j": F.pmod(own, j).cast("int")})
-    cols = ["component", "id", "text", "far", "linked"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[tuple[int, np.ndarray]]] = {}
+        for batch in (whole.slice(k, 200) for whole in batches for k in range(0, whole.num_rows, 200)):
+            out: list[tuple] = []
+            rest = zip(*(batch.column(k).to_pylist() for k in range(7)), batch.column(7), strict=True)
+            for (region, node, n, hi, lo, text, before, listed), own in zip(rest, shingle_sets(batch.column(5)), strict=True):
+                if _key(own) != (hi, lo):
+                    continue
+                if region not in known:
+                    known = {region: [(p["node"], s) for p in listed.as_py() for s in shingle_sets(pa.array([p["text"]])) if _key(s) == (p["hi"], p["lo"])]}
+                shared = [len(np.intersect1d(s, own, assume_unique=True)) for _, s in known[region]]
+                far = [1 - b / (len(s) + n - b) for b, (_, s) in zip(shared, known[region], strict=True)]
+                for b, d, (pivot, s) in zip(shared, far, known[region], strict=True):
+                    if d <= min(far) + 0.5 + 1e-9:
+                        out.append((f"{region}/{pivot}", node, n, hi, lo, text, pivot, d, 100 * b >= 75 * (len(s) + n - b), before))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 10, kinds, strict=True)], names=_CELL)
+
+    made = joined.select("region", "node", "n", "hi", "lo", "text", "bytes", "pivots").mapInArrow(run, "region string, node long, n long, hi long, lo long, text string, pivot long, far double, linked boolean, before long")
+    return common.stored(made.dropDuplicates(["region", "node"]))
+
+
+_CELL = ["region", "node", "n", "hi", "lo", "text", "pivot", "far", "linked", "before"]
+
+
+def _in_blocks(rows: DataFrame, block: int) -> DataFrame:
+    """Links between the documents outside each cell's ball and the whole cell, in blocks, from rows of _cells()."""
+    counts = rows.groupBy("region").agg(F.count_if(~F.col("linked")).alias("n_out"), F.count("*").alias("n_all"))
+    i, j, own = F.ceil(F.col("n_out") / block).cast("int"), F.ceil(F.col("n_all") / block).cast("int"), F.xxhash64("node")
+    kept = rows.join(counts, "region").withColumns({"ni": i, "nj": j, "i": F.pmod(own, i).cast("int"), "j": F.pmod(own, j).cast("int")})
+    cols = ["region", "node", "text", "far"]
     query = kept.where("not linked").select(*cols, "i", F.explode(F.sequence(F.lit(0), F.col("nj") - 1)).alias("j"), F.lit(True).alias("asks"))
     other = kept.select(*cols, F.explode(F.sequence(F.lit(0), F.col("ni") - 1)).alias("i"), "j", F.lit(False).alias("asks"))
 
-    def compare(block: pa.Table) -> pa.Table:
-        asks = block["asks"].to_numpy(zero_copy_only=False)
-        ids, far = block["id"].to_numpy(), block["far"].to_numpy()
-        sets = list(shingle_sets(block["text"].combine_chunks()))
-        theirs = np.flatnonzero(~asks)
+    def compare(part: pa.Table) -> pa.Table:
+        asks = part["asks"].to_numpy(zero_copy_only=False)
+        nodes, far = part["node"].to_numpy(), part["far"].to_numpy()
+        sets, theirs = list(shingle_sets(part["text"].combine_chunks())), np.flatnonzero(~asks)
         out: list[tuple[int, int]] = []
         if len(theirs):
             index, size = _Sets([sets[k] for k in theirs]), np.array([len(sets[k]) for k in theirs])
             for q in np.flatnonzero(asks):
                 window = np.abs(far[theirs] - far[q]) <= 0.25 + 1e-9
                 hit = window & _linked(index.shared(sets[q]), len(sets[q]), size)
-                out += [(int(ids[q]), int(x)) for x in ids[theirs[hit]] if x != ids[q]]
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+                out += [(int(nodes[q]), int(x)) for x in nodes[theirs[hit]] if x != nodes[q]]
+        return pa.Table.from_batches([_pairs(out)])
+
+    return query.unionByName(other).groupBy("region", "i", "j").applyInArrow(compare, "a long, b long")
+
 
-    return stars.unionByName(query.unionByName(other).groupBy("component", "i", "j").applyInArrow(compare, "a long, b long"))
+def _large_regions(rows: DataFrame, budget: int, block: int = BLOCK) -> DataFrame:
+    """Links inside regions that no task should hold, from rows (region, node, n, hi, lo, text, bytes).
+
+    Members of a cell within 0.25 of its pivot are linked to it, so only pairs with one outside this ball are looked
+    at, and of the ball only the part in the window of what is outside. Cells that fit a task are joined there.
+    """
+    rows, found = rows.withColumn("region", F.col("region").cast("string")), []
+    for level in range(DEPTH):
+        cells = _cells(rows, level)
+        found.append(cells.where("linked and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        outside = cells.where("not linked").groupBy("region").agg(F.min("far").alias("nearest"))
+        kept = cells.join(outside, "region").where("not linked or far >= nearest - 0.250000001").drop("nearest")
+        kept = common.stored(kept.join(kept.groupBy("region").agg(F.sum("n").alias("bytes")), "region"))
+        found.append(_in_region(kept.where(F.col("bytes") <= budget)))
+        stuck = (F.col("bytes") * 10 > F.col("before") * 7) if level < DEPTH - 1 else F.lit(True)
+        found.append(_in_blocks(kept.where((F.col("bytes") > budget) & stuck), block))
+        rows = kept.where((F.col("bytes") > budget) & ~stuck).drop("before", "pivot", "far", "linked")
+        if rows.isEmpty():
+            break
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
-def similar(docs: DataFrame, region: int = REGION, small: int = SMALL) -> DataFrame:
+def similar(docs: DataFrame, region: int = REGION, block: int = BLOCK) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id.
 
     Words are as in the contract (A-Z lower-cased). Two documents are linked when 100 * shared >= 75 * union of their
     sets; component_id is the smallest doc_id reachable by links, itself included. Null or wordless texts have an empty
     set and are linked with nothing. Equal sets are one class from the start, so copies are never paired. Repeated rows
-    give repeated rows; a null doc_id links with nothing and has a null component. An empty table gives no rows; other
-    columns are ignored.
+    give repeated rows, and different texts under one doc_id are documents of their own; a null doc_id links with nothing
+    and has a null component. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -282,40 +379,30 @@ def similar(docs: DataFrame, region: int = REGION, small: int = SMALL) -> DataFr
     dealt = dealt.withColumn("c", F.count("*").over(Window.partitionBy("h", "salt")))
     made = common.stored(dealt.where("c > 1 or hot or h is null").drop("salt", "c"))
     nodes = made.where("h is null").select("doc_id", "n", "lo", "hi", "classes")
-    reps = common.stored(nodes.where("n > 0 and doc_id is not null").groupBy("lo", "hi").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("classes").alias("classes")))
-    members = made.where("h is not null").select("h", "lo", "n", "pos").join(reps.select("lo", "id"), "lo").select("h", "id", "n", "pos").distinct()
-    members = common.stored(members)
-    counts = members.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    members = common.stored(members.join(counts, "h"))
-    few, many = members.where(F.col("c") <= small), members.where(F.col("c") > small)
-    x, y = few.alias("x"), few.alias("y")
-    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & _could("x", "y")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    # A large region has a few pivots of its own: its first, its last, and some by a hash.
-    order = ["id", -F.col("id"), *[F.xxhash64("id", F.lit(k)) for k in range(PIVOTS - 2)]]
-    pivots = many.groupBy("h").agg(F.array(*[F.min_by(F.struct("id", "n", "pos"), k) for k in order]).alias("p")).select("h", F.explode("p").alias("p"))
-    x, y = pivots.select("h", "p.*").distinct().alias("x"), many.alias("y")
-    stars = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") != F.col("y.id")) & _could("x", "y"))
-    stars = stars.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    near = _near(pairs.unionByName(stars), reps)
-    found = common.stored(common.components(near))
-    # In a region with many members all pairs between different second-level regions are looked at: those outside its main one with all others.
-    named = many.select("h", "id", "n", "pos").join(found, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
-    main = named.groupBy("h", "part").agg(F.count("*").alias("k")).groupBy("h").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("h", "main")
-    mixed = common.stored(named.join(main, "h"))
-    x, y = mixed.where("part <> main").alias("x"), mixed.alias("y")
-    cross = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))) & _could("x", "y"))
-    more = _near(cross.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")), reps)
-    if not more.isEmpty():
-        found = common.stored(common.components(near.unionByName(more)))
-    sizes = found.groupBy("component").agg(F.count("*").alias("members"))
-    wanted = found.join(sizes, "component").join(reps.select("id", "lo"), "id")
-    texts = common.stored(docs.join(wanted, F.col("doc_id") == F.col("id")).select("component", "id", "lo", "text", "members"))
-    links = _in_region(texts.where(F.col("members") <= region))
-    large = texts.where(F.col("members") > region)
+    reps = nodes.where("n > 0 and doc_id is not null").groupBy("lo", "hi").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("classes").alias("classes"))
+    reps = common.stored(reps.withColumn("node", F.monotonically_increasing_id()))
+    members = common.stored(made.where("h is not null").select("h", "hi", "lo", "n", "pos").join(reps.select("hi", "lo", "node"), ["hi", "lo"]).select("h", "node", "n", "pos").distinct())
+    one = F.struct("node", "n", "pos")
+    pivots = members.groupBy("h").agg(F.min(one).alias("x"), F.max(one).alias("y"), F.count("*").alias("c")).where("c > 1")
+    x, y = pivots.select("h", F.explode(F.array("x", "y")).alias("p")).select("h", "p.*").alias("x"), members.alias("y")
+    stars = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.node") != F.col("y.node")) & _could("x", "y"))
+    near = _near(stars.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")), reps)
+    groups = common.components(near)
+    # With two pivots, all pairs of up to three members have been looked at.
+    named = members.join(groups, F.col("node") == F.col("id"), "left").select("h", "node", "n", "pos", F.coalesce("component", "node").alias("part"))
+    several = named.groupBy("h").agg(F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high")).where("c > 3 and low < high").select("h", "c")
+    mixed = named.join(several, "h").join(reps.select("node", "classes"), "node")
+    groups = common.components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_across(mixed, block)))
+    wanted = groups.join(reps, F.col("node") == groups["id"]).select(F.col("component").alias("region"), "node", "n", "hi", "lo", reps["id"].alias("own"))
+    wanted = wanted.join(wanted.groupBy("region").agg(F.sum("n").alias("bytes")), "region")
+    texts = common.stored(docs.join(wanted, F.col("doc_id") == F.col("own")).select("region", "node", "n", "hi", "lo", "text", "bytes"))
+    links, large = _in_region(texts.where(F.col("bytes") <= region)), texts.where(F.col("bytes") > region)
     if not large.isEmpty():
-        links = links.unionByName(_large_regions(large.drop("members")))
-    whole = common.components(links)
-    named = reps.join(whole, "id", "left").select("lo", "hi", F.coalesce("component", "id").alias("component_id"))
+        links = links.unionByName(_large_regions(large, region, block))
+    whole = common.components(links).withColumnRenamed("id", "at")
+    least = whole.join(reps, F.col("at") == F.col("node")).groupBy("component").agg(F.min("id").alias("component_id"))
+    whole = whole.join(least, "component").select("at", "component_id")
+    named = reps.join(whole, F.col("node") == F.col("at"), "left").select("lo", "hi", F.coalesce("component_id", "id").alias("component_id"))
     # Classes of equal sets may hold any share of the documents, so their rows are spread before the join.
     salts = 16
     spread = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -26,28 +26,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _table() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-
-
-class _Powers:
-    """Powers of the base and of its inverse, grown on demand."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, SLICE * 2)
-            step = np.full(size, _BASE, dtype=np.uint64)
-            step[0] = 1
-            self.up = np.cumprod(step)
-            step[1:] = _INVERSE
-            self.down = np.cumprod(step)
-        return self.up[:n], self.down[:n]
-
-
-_POWERS, _BYTE = _Powers(), _table()
+#: Of a word's eight bytes, those that are its own when it has so many left.
+_OWN = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Words longer than this many bytes are rare and hashed one by one.
+LONG = 64
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word: eight at a time, each group mixed with its place before they are summed."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    size = ends - starts
+    out = mix(size.astype(np.uint64) + np.uint64(_BASE))
+    at = np.flatnonzero(size <= LONG)
+    for k in range(0, LONG, 8):
+        place = np.uint64((k + 1) * _BASE & (1 << 64) - 1)
+        out[at] += mix((eight[starts[at] + k] & _OWN[np.minimum(size[at] - k, 8)]) ^ place)
+        at = at[size[at] > k + 8]
+        if not len(at):
+            break
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return mix(out)
 
 
 @dataclass
@@ -93,11 +93,7 @@ def _words(first: int, data: np.ndarray, offsets: np.ndarray) -> Words:
     cut[offsets] = True
     stops &= cut
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
-    up, down = _POWERS.upto(n + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return Words(first, data, starts, ends, hashes, np.searchsorted(starts, offsets))
+    return Words(first, data, starts, ends, _hashes(data, starts, ends), np.searchsorted(starts, offsets))
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Operators 5, 6 and 7 against plain versions."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -74,11 +75,11 @@ def test_two_texts_under_one_id(spark, group):
     assert sorted(x[1] for x in kept if x[0] == 3) in (sorted([same, "y z"]), sorted(["x", other]))
 
 
-@pytest.mark.parametrize(("region", "small"), [(4000, 16), (3, 1), (2, 0), (0, 0)])
-def test_jaccard_matches_brute_force(spark, region, small):
+@pytest.mark.parametrize(("region", "block"), [(1 << 22, 1024), (300, 2), (0, 3)])
+def test_jaccard_matches_brute_force(spark, region, block):
     table = rows()
     want = brute.similar(unique(table))
-    got = jaccard.similar(frame(spark, table), region, small).collect()
+    got = jaccard.similar(frame(spark, table), region, block).collect()
     assert len(got) == len(table)
     for r in got:
         if r.doc_id is not None:
@@ -93,6 +94,52 @@ def test_jaccard_on_the_driver_documents(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar(docs).collect()} == want
 
 
+def stock_rows(n, paragraphs=24, taken=8, seed=7):
+    """Documents put together from a few stock paragraphs: nearly all pairs share some."""
+    rng = random.Random(seed)
+    stock = [" ".join(f"p{k}w{i}" for i in range(30)) for k in range(paragraphs)]
+    return [(i, "\n".join(stock[k] for k in rng.sample(range(paragraphs), taken)), None, None, None, 0, "c", "t") for i in range(n)]
+
+
+@pytest.mark.parametrize("region", [1 << 22, 3000])
+def test_jaccard_on_recombined_boilerplate(spark, region):
+    table = stock_rows(150, 12, 8)
+    want = brute.similar(unique(table))
+    assert len({c for _, c in want.values()}) < 140
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar(frame(spark, table), region, 40).collect()} == want
+
+
+def test_jaccard_keeps_texts_under_one_id_apart(spark):
+    """Id 5 stands on two texts, each near another document; all are reachable through it only if its texts were one."""
+    line = lambda c, n=60: [f"{c}{i}" for i in range(n)]
+    text = lambda w, k: " ".join(w[:k] + ["edit"] + w[k + 1 :])
+    a, b = line("a"), line("b")
+    table = [(1, " ".join(a)), (2, " ".join(b)), (5, text(a, 59)), (5, text(b, 59)), (7, text(b, 0))]
+    got = jaccard.similar(frame(spark, [(i, t, None, None, None, 0, "c", "t") for i, t in table])).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (5, 1), (5, 2), (7, 2)]
+
+
+def test_long_words_that_a_polynomial_confuses_differ(spark):
+    word = "a"
+    swap = str.maketrans("ab", "ba")
+    for _ in range(11):
+        word += word.translate(swap)
+    texts = [" ".join([word] * 30), " ".join([word.translate(swap)] * 30)]
+    df = frame(spark, [(i, t, None, None, None, 0, "c", "t") for i, t in enumerate(texts)])
+    assert sorted((r.doc_id, r.component_id) for r in jaccard.similar(df).collect()) == [(0, 0), (1, 1)]
+    assert sorted((r.doc_id, r.n_removed) for r in substrings.digests(df).collect()) == [(0, 29), (1, 29)]
+
+
+@pytest.mark.parametrize("per_task", [1 << 20, 3])
+def test_components_of_any_number_of_edges(spark, per_task):
+    rng = random.Random(3)
+    edges = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + [(i, i + 1) for i in range(200, 230)] + [(300, i) for i in range(301, 330)]
+    want = brute.components({x for e in edges for x in e if e[0] != e[1]}, edges)
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert {r.id: r.component for r in common.components(df, per_task).collect() if r.id in want} == want
+    assert common.components(df.where("false")).count() == 0
+
+
 def test_region_links_connect_what_is_linked():
     rng = np.random.default_rng(5)
     for _ in range(30):
