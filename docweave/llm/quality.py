@@ -1,57 +1,132 @@
-"""Operator 3: a quality classifier from weak labels: expectation-maximisation over labellers, then a hashed linear scorer."""
+"""Operator 3: a quality classifier from weak labels: expectation-maximisation over labellers, then a hashed linear scorer.
+
+Texts are read a few MB at a time as arrays of code points and of word hashes, from which a pass takes both the labellers'
+measures and the scorer's features.
+"""
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, words
 
 #: Hashed features of the scorer, and the documents that it is trained on, about, by a hash of the id.
 FEATURES, SAMPLE = 1 << 14, 6000
+_SPACE, _UPPER, _LOWER, _LETTER, _DIGIT, _MARK = 1, 2, 4, 8, 16, 32
+
+
+class _Kinds:
+    """Flags of code points, looked up in a table that fills as code points are met."""
+
+    def __init__(self) -> None:
+        self.table = np.full(0x110000, 255, dtype=np.uint8)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        found = self.table[codes]
+        if len(found) and found.max() == 255:
+            for c in np.unique(codes[found == 255]).tolist():
+                kind = unicodedata.category(chr(c))
+                letter = _LETTER if kind[0] == "L" else 0
+                self.table[c] = (_SPACE if c in (9, 10, 11, 12, 13, 32) else 0) | letter | {"Lu": _UPPER, "Ll": _LOWER, "Nd": _DIGIT}.get(kind, 0) | (_MARK if kind[0] in "PS" else 0)
+            found = self.table[codes]
+        return found
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """What the labellers read of a text that isn't null. They stand in columns of their own, so each is worked out once."""
-    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
-    alone = lambda pattern: count(r"(?<![^\x20\x09-\x0D])" + pattern + r"(?![^\x20\x09-\x0D])")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
-    return {
-        "_size": F.greatest(F.length(text), F.lit(1)), "_n": F.greatest(common.word_count(text), F.lit(1)), "_kinds": F.size(F.array_distinct(F.split(text, r"[\x20\x09-\x0D]+"))),
-        "_symbols": count(r"[#*$%&|<>]"), "_bars": count(r"\|"), "_upper": count(r"\p{Lu}"), "_letters": count(r"\p{L}"), "_exclaimed": count("!"),
-        "_lines": F.size(lines), "_line_kinds": F.size(F.array_distinct(lines)), "_echoes": alone(r"(\p{L}+) \1"), "_prose": alone(r"\p{L}+[.,;:?]?"),
-        "_short": alone(r"\p{L}{1,3}[.,]?"), "_sentences": count(r"\p{Ll}[.?](\s|$)"), "_marks": count(r"[\p{P}\p{S}]"),
-    }
+_KINDS = _Kinds()
+#: Labellers, in the order of the columns of votes().
+LABELLERS = ("symbols", "bars", "shouting", "exclamations", "lines again", "vocabulary", "echoes", "prose", "short words", "sentences", "marks")
 
 
-def labellers() -> dict[str, Column]:
-    """Overlapping heuristics over the measures, each 1 (good), 0 (bad) or -1 (no vote).
+@dataclass
+class Read:
+    """Some texts of a batch: first is the place of the first of them; a row of votes each, and features from bounds[i] to bounds[i + 1]."""
+
+    first: int
+    votes: np.ndarray
+    features: np.ndarray
+    bounds: np.ndarray
+
 
-    One that looks for a single fault abstains where it finds none. There are eleven,
-    seven of which only know one fault, so at most 2 ** 7 * 3 ** 4 patterns of votes.
+def read(texts: pa.Array, features: bool = True) -> Iterator[Read]:
+    """Votes and features of every text, slice by slice; null is as empty.
+
+    Each labeller votes 1 (good), 0 (bad) or -1 (no vote). One that looks for a single fault abstains where it finds
+    none. There are eleven, seven of which only know one fault, so at most 2 ** 7 * 3 ** 4 patterns of votes. Features are
+    numbers below FEATURES for each word and for each word's shape (A for an upper-case letter, a for a run of lower-case
+    ones, 0 for a digit, the rest as it is).
     """
-    n, size, kinds, c = F.col("_n"), F.col("_size"), F.col("_kinds"), F.col
-    varied = kinds * 6 >= n
-    pick = lambda bad, good=F.lit(False): F.when(bad, 0).when(good, 1).otherwise(-1)
-    return {
-        "symbols": pick(c("_symbols") * 25 > size),
-        "bars": pick(c("_bars") * 5 > n),
-        "shouting": pick(c("_upper") * 2 > c("_letters")),
-        "exclamations": pick(c("_exclaimed") * 5 > n),
-        "lines again": pick((c("_lines") > 3) & (c("_line_kinds") * 2 < c("_lines"))),
-        "vocabulary": pick((n >= 30) & (kinds * 6 < n), (n >= 30) & (kinds * 5 > n * 2)),
-        "echoes": pick(c("_echoes") * 6 > n),
-        "prose": pick(c("_prose") * 10 < n * 7, (c("_prose") * 10 > n * 9) & varied),
-        "short words": pick(c("_short") * 12 < n, (c("_short") * 4 > n) & varied),
-        "sentences": pick(c("_sentences") * 100 < n, c("_sentences") * 25 > n),
-        "marks": pick(c("_marks") * 12 > size),
-    }
+    for s in words.slices(texts, lower=False):
+        whole = s.data.tobytes()
+        codes = np.frombuffer(whole.decode().encode("utf-32-le"), dtype="<u4")
+        lead = np.zeros(len(s.data) + 1, dtype=np.int64)
+        np.cumsum((s.data & 0xC0) != 0x80, out=lead[1:])
+        offsets = lead[s.offsets]
+        kinds = _KINDS.of(codes)
+        starts, ends = words.spans((kinds & _SPACE) > 0, offsets)
+
+        def sums(mask: np.ndarray) -> np.ndarray:
+            total = np.zeros(len(mask) + 1, dtype=np.int64)
+            np.cumsum(mask, out=total[1:])
+            return total
+
+        def of_texts(mask: np.ndarray, at: np.ndarray = offsets) -> np.ndarray:
+            return np.diff(sums(mask)[at])
+
+        letters = sums((kinds & _LETTER) > 0)
+        own, size, last = letters[ends] - letters[starts], ends - starts, codes[ends - 1]
+        full = np.isin(last, [46, 44])  # . ,
+        prose = (own == size) | ((own == size - 1) & (own > 0) & (full | np.isin(last, [59, 58, 63])) & ((kinds[ends - 1] & _LETTER) == 0))
+        body = size - full
+        short = (own == body) & (body >= 1) & (body <= 3)
+        again = np.zeros(len(starts), dtype=bool)
+        again[1:] = (s.hashes[1:] == s.hashes[:-1]) & (own[1:] == size[1:])
+        again[s.bounds[:-1][s.bounds[:-1] < len(again)]] = False
+        after = np.ones(len(codes) + 2, dtype=bool)
+        after[: len(codes)] = (kinds & _SPACE) > 0
+        after[offsets] = True
+        stop = np.zeros(len(codes), dtype=bool)
+        stop[1:] = ((kinds[:-1] & _LOWER) > 0) & ((codes[1:] == 46) | (codes[1:] == 63)) & after[2 : len(codes) + 1]
+        stop[offsets[:-1][offsets[:-1] < len(codes)]] = False
+        marks, upper = of_texts((kinds & _MARK) > 0), of_texts((kinds & _UPPER) > 0)
+        symbols, bars, exclaimed = of_texts(np.isin(codes, [ord(c) for c in "#*$%&|<>"])), of_texts(codes == 124), of_texts(codes == 33)
+        n, size_of = np.maximum(np.diff(s.bounds), 1), np.maximum(np.diff(offsets), 1)
+        kinds_of, lines, line_kinds = (np.zeros(len(n), dtype=np.int64) for _ in range(3))
+        for i, (a, b) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True)):
+            kinds_of[i] = len(np.unique(s.hashes[a:b]))
+            held = [x for x in whole[s.offsets[i] : s.offsets[i + 1]].split(b"\n") if x.strip()]
+            lines[i], line_kinds[i] = len(held), len(set(held))
+        echoes, plain, little, sentences = of_texts(again, s.bounds), of_texts(prose, s.bounds), of_texts(short, s.bounds), of_texts(stop)
+        varied = kinds_of * 6 >= n
+
+        def pick(bad: np.ndarray, good: np.ndarray | None = None) -> np.ndarray:
+            return np.where(bad, 0, -1 if good is None else np.where(good, 1, -1))
+
+        votes = np.stack([
+            pick(symbols * 25 > size_of), pick(bars * 5 > n), pick(upper * 2 > of_texts((kinds & _LETTER) > 0)), pick(exclaimed * 5 > n), pick((lines > 3) & (line_kinds * 2 < lines)),
+            pick((n >= 30) & ~varied, (n >= 30) & (kinds_of * 5 > n * 2)), pick(echoes * 6 > n), pick(plain * 10 < n * 7, (plain * 10 > n * 9) & varied), pick(little * 12 < n, (little * 4 > n) & varied),
+            pick(sentences * 100 < n, sentences * 25 > n), pick(marks * 12 > size_of),
+        ], axis=1)
+        found, bounds = np.zeros(0, dtype=np.int64), s.bounds
+        if features:
+            plain_byte = np.where(codes < 128, codes, 128 + codes % 127).astype(np.uint8)
+            form = np.where(kinds & _UPPER, 65, np.where(kinds & _LOWER, 97, np.where(kinds & _DIGIT, 48, plain_byte))).astype(np.uint8)
+            kept = np.ones(len(form), dtype=bool)
+            kept[1:] = ~((form[1:] == 97) & (form[:-1] == 97))
+            kept[starts] = True
+            place = sums(kept)
+            shapes = words.hashes(form[kept], place[starts], place[ends])
+            both = np.concatenate([s.hashes, words.mix(shapes + np.uint64(1))])
+            owner = np.repeat(np.arange(len(n)), np.diff(s.bounds))
+            order = np.argsort(np.concatenate([owner, owner]), kind="stable")
+            found, bounds = (both % np.uint64(FEATURES)).astype(np.int64)[order], 2 * s.bounds
+        yield Read(s.first, votes, found, bounds)
 
 
 @dataclass
@@ -79,8 +154,8 @@ class WeakLabels:
 def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> WeakLabels:
     """Fit WeakLabels to patterns of votes and how many documents have each, by expectation-maximisation.
 
-    Starts from the votes themselves, where a vote against counts twice one for; this also settles which class is the
-    good one. No chance is taken for less than one in a thousand.
+    Starts from the votes themselves, where a vote against counts four times one for; this also settles which class is
+    the good one. No chance is taken for less than one in a thousand.
     """
     k = votes.shape[1] if votes.ndim == 2 else 0
     model = WeakLabels(0.5, np.full((k, 3), 1 / 3), np.full((k, 3), 1 / 3))
@@ -102,25 +177,52 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> WeakLa
     return model
 
 
+@dataclass
+class Linear:
+    """A logistic scorer of hashed counts at length 1."""
+
+    weights: np.ndarray
+    bias: float
+
+    def score(self, features: np.ndarray) -> float:
+        counts = np.bincount(features, minlength=FEATURES).astype(np.float64)
+        gap = self.bias + (counts @ self.weights) / max(1.0, np.sqrt(counts @ counts))
+        return float(1 / (1 + np.exp(np.clip(-gap, -500, 500))))
+
+
+def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], p: np.ndarray, passes: int = 150, rate: float = 1.0, shrink: float = 1e-5) -> Linear:
+    """A scorer fitted to posteriors p of documents, each with its distinct features and their counts.
+
+    A document with posterior p counts as a good one with weight p and as a bad one with the rest. Gradient steps on the
+    regularised likelihood, each weight's scaled by its past gradients.
+    """
+    at = np.concatenate([f for f, _ in rows])
+    owner = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows])
+    value = np.concatenate([c / np.sqrt(c @ c) for _, c in ((f, c.astype(np.float64)) for f, c in rows)])
+    weights, bias, seen, seen_bias = np.zeros(FEATURES), 0.0, np.full(FEATURES, 1e-12), 1e-12
+    for _ in range(passes):
+        gap = np.bincount(owner, value * weights[at], len(rows)) + bias
+        off = (p - 1 / (1 + np.exp(-gap))) / len(rows)
+        grad, grad_bias = np.bincount(at, value * off[owner], FEATURES) - shrink * weights, off.sum()
+        seen, seen_bias = seen + grad**2, seen_bias + grad_bias**2
+        weights += rate * grad / np.sqrt(seen)
+        bias += rate * grad_bias / np.sqrt(seen_bias)
+    return Linear(weights, float(bias))
+
+
 @dataclass
 class Scorer:
     weak: WeakLabels
-    linear: LogisticRegressionModel | None
+    linear: Linear | None
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    """docs with a vector of hashed pieces of the text: words without letters' detail (shapes) and words themselves, counted, at length 1."""
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", r"\p{Lu}", "A"), r"\p{Ll}+", "a"), r"\d+", "0")
-    both = docs.withColumn("_both", F.concat_ws(" ", "text", F.regexp_replace(shape, r"([^\x20\x09-\x0D]+)", "\u0001$1")))
-    cut = RegexTokenizer(inputCol="_both", outputCol="_words", pattern=r"[\x20\x09-\x0D]+", toLowercase=False)
-    counted = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=FEATURES).transform(cut.transform(both))
-    return Normalizer(inputCol="_counts", outputCol="features").transform(counted).drop("_both", "_words", "_counts")
+def _code(votes: np.ndarray) -> np.ndarray:
+    """A row of votes as one number, in base 3."""
+    return (votes + 1) @ (3 ** np.arange(len(LABELLERS)))
 
 
-def _votes(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    read, columns = measures(F.col("text")), labellers()
-    names = [f"v{i}" for i in range(len(columns))]
-    return docs.withColumns(read).withColumns(dict(zip(names, columns.values(), strict=True))).drop(*read), names
+def _votes_of(code: np.ndarray) -> np.ndarray:
+    return (code[:, None] // 3 ** np.arange(len(LABELLERS))) % 3 - 1
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
@@ -129,41 +231,47 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
     Votes are counted by pattern before they reach the driver. Without texts, or if all posteriors agree, there is no
     linear scorer and documents score their posterior.
     """
-    voted, names = _votes(docs.where("text is not null").select("doc_id", "text"))
-    patterns = voted.groupBy(*names).agg(F.count("*").alias("n")).toArrow().to_pandas()
-    votes, counts = patterns[names].to_numpy(dtype=int), patterns["n"].to_numpy(dtype=float)
-    weak = estimate(votes, counts)
-    drawn = common.sampled(docs.where("text is not null").select("doc_id", "text"), sample)
-    drawn, _ = _votes(common.stored(drawn))
-    p = posterior(weak, names)
-    train = _hashed(drawn.withColumn("p", p).select("text", "p"))
-    # A document with posterior p counts as a good one with weight p and as a bad one with the rest.
-    both = train.select("features", F.lit(1.0).alias("label"), F.col("p").alias("weight")).unionByName(train.select("features", F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))
-    both = common.stored(both.where("weight > 0.02"))
-    if both.select("label").distinct().count() < 2:
+    known = docs.where("text is not null").select("doc_id", "text")
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in read(batch.column(0), features=False):
+                yield pa.RecordBatch.from_arrays([pa.array(_code(part.votes))], names=["code"])
+
+    patterns = known.select("text").mapInArrow(vote, "code long").groupBy("code").agg(F.count("*").alias("n")).toArrow()
+    weak = estimate(_votes_of(patterns["code"].to_numpy()), patterns["n"].to_numpy().astype(float))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in read(batch.column(0)):
+                cut = [np.unique(part.features[a:b], return_counts=True) for a, b in zip(part.bounds[:-1].tolist(), part.bounds[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(_code(part.votes)), pa.array([f for f, _ in cut], pa.list_(pa.int64())), pa.array([c for _, c in cut], pa.list_(pa.int64()))], names=["code", "features", "counts"])
+
+    drawn = common.sampled(known, sample).select("text").mapInArrow(draw, "code long, features array<long>, counts array<long>").toArrow()
+    rows = [(np.array(f.values), np.array(c.values)) for f, c in zip(drawn["features"], drawn["counts"], strict=True)]
+    p = weak.posterior(_votes_of(drawn["code"].to_numpy())) if rows else np.zeros(0)
+    able = [i for i, (f, _) in enumerate(rows) if len(f)]
+    if not able or p[able].min() > 0.5 or p[able].max() < 0.5:
         return Scorer(weak, None)
-    return Scorer(weak, LogisticRegression(weightCol="weight", maxIter=25, regParam=0.0005).fit(both))
-
-
-def posterior(weak: WeakLabels, names: list[str]) -> Column:
-    """WeakLabels.posterior as a column."""
-    gap = F.lit(float(np.log(weak.prior) - np.log(1 - weak.prior)))
-    for name, (zero, one, none) in zip(names, (np.log(weak.good) - np.log(weak.bad)).tolist(), strict=True):
-        gap = gap + F.when(F.col(name) == 1, F.lit(one)).when(F.col(name) == 0, F.lit(zero)).otherwise(F.lit(none))
-    return 1 / (1 + F.exp(-gap))
+    return Scorer(weak, fit_linear([rows[i] for i in able], p[able]))
 
 
 def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.5) -> DataFrame:
     """One row a document: doc_id, posterior (of the labellers' votes), score (of the linear scorer), kept (score >= threshold).
 
-    Whole texts count. A null or empty text has posterior and score 0 and is not kept. Repeated rows give repeated
-    rows, an empty table none; other columns are ignored; a null doc_id stays null.
+    Whole texts count. A null or empty text, or one without a word, has posterior and score 0 and is not kept. Repeated
+    rows give repeated rows, an empty table none; other columns are ignored; a null doc_id stays null.
     """
-    rows, names = _votes(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    rows = rows.withColumn("posterior", F.when(F.col("text") == "", F.lit(0.0)).otherwise(posterior(scorer.weak, names))).drop(*names)
-    if scorer.linear is None:
-        out = rows.withColumn("score", F.col("posterior"))
-    else:
-        scored = scorer.linear.transform(_hashed(rows))
-        out = scored.withColumn("score", F.when(F.col("text") == "", F.lit(0.0)).otherwise(vector_to_array("probability")[1]))
-    return out.select("doc_id", "posterior", "score", (F.col("score") >= threshold).alias("kept"))
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # of fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weak, linear = shared.value.weak, shared.value.linear
+        for batch in batches:
+            for part in read(batch.column(1), features=linear is not None):
+                posterior = np.where(np.diff(part.bounds) > 0, weak.posterior(part.votes), 0.0)
+                scores = posterior
+                if linear is not None:
+                    scores = np.array([linear.score(part.features[a:b]) if b > a else 0.0 for a, b in zip(part.bounds[:-1].tolist(), part.bounds[1:].tolist(), strict=True)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(scores)), pa.array(posterior), pa.array(scores, pa.float64()), pa.array(scores >= threshold)], names=["doc_id", "posterior", "score", "kept"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, posterior double, score double, kept boolean")

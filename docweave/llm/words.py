@@ -32,7 +32,7 @@ _OWN = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 LONG = 64
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each word: eight at a time, each group mixed with its place before they are summed."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
@@ -52,7 +52,7 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 @dataclass
 class Words:
-    """Words of texts first..first+len(counts)-1 of a batch; bounds[i]:bounds[i+1] are the words of the i-th of them."""
+    """Words of some texts of a batch from its first-th on; bounds[i]:bounds[i+1] are the words of the i-th of them, offsets its bytes."""
 
     first: int
     data: np.ndarray
@@ -60,6 +60,7 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
     bounds: np.ndarray
+    offsets: np.ndarray
 
 
 def slices(texts: pa.Array, lower: bool) -> Iterator[Words]:
@@ -78,22 +79,24 @@ def slices(texts: pa.Array, lower: bool) -> Iterator[Words]:
         i = j
 
 
-def _words(first: int, data: np.ndarray, offsets: np.ndarray) -> Words:
-    n = len(data)
-    space = np.ones(n + 1, dtype=bool)
-    space[:n] = _SPACE[data]
-    begins = np.zeros(n + 1, dtype=bool)
+def spans(space: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end, given which places are white space and where each text begins (and the last one ends)."""
+    n = len(space)
+    begins, stops = np.zeros(n + 1, dtype=bool), np.zeros(n + 1, dtype=bool)
     begins[1:n] = space[: n - 1]
     begins[offsets[:-1]] = True
-    begins[:n] &= ~space[:n]
+    begins[:n] &= ~space
     begins[n] = False
-    stops = np.zeros(n + 1, dtype=bool)
-    stops[1:] = ~space[:n]
-    cut = space.copy()
+    stops[1:] = ~space
+    cut = np.ones(n + 1, dtype=bool)
+    cut[:n] = space
     cut[offsets] = True
-    stops &= cut
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
-    return Words(first, data, starts, ends, _hashes(data, starts, ends), np.searchsorted(starts, offsets))
+    return np.flatnonzero(begins), np.flatnonzero(stops & cut)
+
+
+def _words(first: int, data: np.ndarray, offsets: np.ndarray) -> Words:
+    starts, ends = spans(_SPACE[data], offsets)
+    return Words(first, data, starts, ends, hashes(data, starts, ends), np.searchsorted(starts, offsets), offsets)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
