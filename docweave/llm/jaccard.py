@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common, words
 from .frequent import bits_of, frequent, is_frequent
@@ -34,7 +35,7 @@ from .tokens import blocks
 #: Words of a shingle.
 SHINGLE = 5
 #: Members of a region in one block.
-BLOCK = 1024
+BLOCK = 512
 #: Shingles of a group, of 8 bytes each, that one task holds, and the documents that split a larger one into cells.
 REGION, PIVOTS = 1 << 22, 8
 #: Levels of cells before what is still too large is compared in blocks.
@@ -362,7 +363,7 @@ def _large_regions(rows: DataFrame, budget: int, block: int = BLOCK) -> DataFram
 
 
 def similar(docs: DataFrame, region: int = REGION, block: int = BLOCK) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id.
+    """One row a document: doc_id, n_shingles, component_id, and hi and lo, a digest of its set.
 
     Words are as in the contract (A-Z lower-cased). Two documents are linked when 100 * shared >= 75 * union of their
     sets; component_id is the smallest doc_id reachable by links, itself included. Null or wordless texts have an empty
@@ -407,6 +408,34 @@ def similar(docs: DataFrame, region: int = REGION, block: int = BLOCK) -> DataFr
     salts = 16
     spread = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = nodes.drop("classes").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    linked = keyed.where("n > 0 and doc_id is not null").join(spread, ["lo", "hi", "salt"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    single = keyed.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    linked = keyed.where("n > 0 and doc_id is not null").join(spread, ["lo", "hi", "salt"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "hi", "lo")
+    single = keyed.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "hi", "lo")
     return linked.unionByName(single)
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, without near duplicates: of each group of similar() one document stays, that of the smallest doc_id.
+
+    Where several rows have that id, one stays: of the set with the smallest digest, the text with the smallest hash, so
+    repeated rows become one. Rows without an id link with nothing and all stay; so does one row for each id whose text
+    has no words. An empty table gives no rows.
+    """
+    own = F.when(F.col("doc_id") == F.col("component_id"), F.struct("hi", "lo"))
+    first = similar(docs).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(own).alias("key"))
+    first = common.stored(first.where("key is not null").select(F.col("doc_id").alias("first"), "n", "key.hi", "key.lo"))
+    packed = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id") == F.col("first")
+    out = packed.join(first.where("n = 1").select("first"), same, "left_semi").unionByName(packed.where("row.doc_id is null"))
+    repeated = first.where("n > 1")
+    if not repeated.isEmpty():
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in (part for whole in batches for part in blocks(whole, "text")):
+                keys = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                right = [_key(s) == key for s, key in zip(shingle_sets(batch.column(4)), keys, strict=True)]
+                yield batch.select(["row", "first", "text"]).filter(pa.array(right, pa.bool_()))
+
+        rows = packed.join(repeated, same).select("row", "first", "hi", "lo", F.col("row.text").alias("text"))
+        rows = rows.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("first", T.LongType()), T.StructField("text", T.StringType())]))
+        out = out.unionByName(rows.groupBy("first").agg(F.min_by("row", F.xxhash64("text")).alias("row")).select("row"))
+    return out.select("row.*")

@@ -53,7 +53,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar(table(spark, sf_dir, "documents"))
+    return jaccard.similar(table(spark, sf_dir, "documents")).drop("hi", "lo")
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

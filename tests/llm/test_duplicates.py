@@ -119,6 +119,19 @@ def test_jaccard_keeps_texts_under_one_id_apart(spark):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (5, 1), (5, 2), (7, 2)]
 
 
+def test_keep_first_leaves_one_of_each_group(spark):
+    line = lambda c, n=60: [f"{c}{i}" for i in range(n)]
+    a, b = line("a"), line("b")
+    near = [*a[:30], "edit", *a[31:]]
+    table = [(3, a), (3, a), (5, near), (5, b), (7, b), (8, line("c")), (9, []), (9, []), (None, a)]
+    df = spark.createDataFrame([(i, " ".join(w), "x", 1, "r") for i, w in table], "doc_id long, text string, first string, n int, row string").repartition(3)
+    out = jaccard.keep_first(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id or 0), r.text.split()) for r in out.collect())
+    assert got == sorted([(3, a), (5, b), (8, line("c")), (9, []), (0, a)])
+    assert jaccard.keep_first(df.where("false")).collect() == []
+
+
 def test_long_words_that_a_polynomial_confuses_differ(spark):
     word = "a"
     swap = str.maketrans("ab", "ba")
