@@ -13,32 +13,34 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules, or whose content lines hold too few words, go."""
+    """Documents that fail the base rules, or whose content lines hold too few words, go; so null, empty and wordless texts go. Each row is judged alone."""
     common.ship(spark)
     return linelabel.keep_good(docs, linelabel.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; rows without an id stay."""
+    """Of each group of near duplicates one document stays, that with the smallest id; rows repeated whole become one, rows without an id stay."""
     common.ship(spark)
-    first = jaccard.similar(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_id"), "left_semi").unionByName(docs.where("doc_id is null"))
+    return jaccard.keep_first(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand earlier in the corpus are cut; documents of which no word is left go. n_chars follows the text."""
+    """Passages that stand earlier in the corpus are cut; documents of which no word is left go, those that had none stay. n_chars follows the text.
+
+    Rows without an id stay whole and nothing is cut for their sake; other columns stay as they are.
+    """
     common.ship(spark)
     cut = substrings.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(cut.schema["n_chars"].dataType)) if "n_chars" in cut.columns else cut
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated or left out so that sources come near their targets."""
+    """Documents are repeated or left out so that sources come near their targets; a null source is one of them. A source without words goes."""
     return mixing.mix(docs)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row's text as ids, with the digests of the ids and of the text decoded from them."""
+    """A row for each row: doc_id, the number and digest of its text's ids, and the digest of the text decoded from them; null is as empty."""
     common.ship(spark)
     return bpe.round_trip(docs, queries.tokenizer_path())
 
