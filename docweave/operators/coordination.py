@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..errors import CONFLICT, INVALID_METADATA, DocumentError
+from ..functions.files import Files, ensure_checkpoint_dir
+
 #: Time to live of a lock in milliseconds, where a request names none.
 TTL = 3_600_000
 
@@ -69,14 +73,46 @@ def replay(events: DataFrame, ttl: int = TTL) -> DataFrame:
     return dealt.mapInPandas(run, "resource string, seq long, caller string, action string, ok boolean, count long")
 
 
-def sequence(df: DataFrame, order: list[str], name: str, initial: int = 1, increment: int = 1) -> DataFrame:
-    """df with a column of consecutive numbers in the given total order, initial + increment * rank; increment 0 is 1.
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df with the rank of each row, from 0, in the given total order.
 
     Rows are split by range, counted by part, and numbered within each part, so no task sees them all.
     """
-    by = increment or 1
-    spread = df.repartitionByRange(*[F.col(f"`{c}`") for c in order]).withColumn("_part", F.spark_partition_id()).checkpoint()
+    ensure_checkpoint_dir(df.sparkSession)
+    spread = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
     parts = spread.groupBy("_part").agg(F.count("*").alias("_n"))
     parts = parts.withColumn("_ahead", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*[F.col(f"`{c}`") for c in order])) - 1
-    return spread.join(parts, "_part").withColumn(name, (F.lit(initial) + by * (F.col("_ahead") + rank)).cast("long")).drop("_part", "_ahead")
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return spread.join(parts, "_part").withColumn(name, (F.col("_ahead") + rank).cast("long")).drop("_part", "_ahead")
+
+
+def sequence(df: DataFrame, order: list[str], name: str, initial: int = 1, increment: int = 1) -> DataFrame:
+    """df with a column of consecutive numbers in the given total order, initial + increment * rank; increment 0 is 1."""
+    return numbered(df, [F.col(f"`{c}`") for c in order], name).withColumn(name, F.lit(initial) + (increment or 1) * F.col(name))
+
+
+class Sequences:
+    """Named counters that outlive a session: <path>/<name>/<n> holds the value after the n-th call, created so that it must not exist."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.files = Files(spark, path)
+
+    def take(self, name: str, initial: int = 1, increment: int = 1, count: int = 1, tries: int = 100) -> int:
+        """The first of `count` values, increment (0 is 1) apart; the name's first call fixes initial and increment, later ones go on from there."""
+        for _ in range(tries):
+            known = self.files.numbers(name)
+            at = json.loads(self.files.text(f"{name}/{known[-1]:09d}")) if known else {"next": initial, "increment": increment or 1}
+            after = at | {"next": at["next"] + count * at["increment"]}
+            if self.files.create(f"{name}/{(known[-1] + 1 if known else 0):09d}", json.dumps(after)):
+                return at["next"]
+        raise DocumentError(CONFLICT, f"sequence {name}")
+
+
+def domains(config: dict[str, Any], datasources: dict[str, str]) -> dict[str, str]:
+    """The folder of each locking domain, from extensions.locking[] with domain, datasource and collection."""
+    out = {}
+    for item in config.get("extensions", {}).get("locking", []):
+        if not item.get("domain") or item.get("datasource") not in datasources or not item.get("collection"):
+            raise DocumentError(INVALID_METADATA, f"locking domain {item}")
+        out[item["domain"]] = f"{datasources[item['datasource']].rstrip('/')}/{item['collection']}"
+    return out

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import CONFLICT, DocumentError
+from ..plans.query import compile_query
 
 
 @dataclass(frozen=True)
 class Conflicts:
-    """Detection on or off, and how often an update is tried again."""
+    """Detection on or off, how often an update is tried again, and whether a document must still match the query then."""
 
     detection: bool = True
     retries: int = 3
@@ -58,6 +59,27 @@ def lost_updates(current: DataFrame, written: DataFrame, key: str, versions: str
     return current.where(missing).join(ours, F.col(f"`{key}`") == F.col("_key"), "left_semi")
 
 
+def outcomes(attempted: DataFrame, current: DataFrame, key: str, versions: str, version: str, query: dict | None = None, options: Conflicts = Conflicts()) -> DataFrame:
+    """What became of each document that an update wrote: rows (key, outcome) for the keys of attempted.
+
+    updated: the stored one has our version entry. lost: another writer came between, and the document is gone or, with
+    reevaluate, no longer matches the query; that is no error and isn't tried again. failed: it is to be tried again.
+    """
+    ours = F.coalesce(F.exists(F.col(f"`{versions}`"), lambda v: v["version"] == version), F.lit(False))
+    match = compile_query(query, current.schema) if options.reevaluate else F.lit(True)
+    now = current.select(F.col(f"`{key}`").alias("_key"), ours.alias("_ours"), match.alias("_match"))
+    keys = attempted.select(F.col(f"`{key}`")).distinct()
+    found = keys.join(now, F.col(f"`{key}`") == F.col("_key"), "left")
+    told = F.when(F.col("_ours") | F.lit(not options.detection), "updated").when(F.col("_key").isNull() | ~F.col("_match"), "lost").otherwise("failed")
+    return found.select(F.col(f"`{key}`"), told.alias("outcome"))
+
+
+def skipped(current: DataFrame, read: DataFrame, key: str, version: str) -> DataFrame:
+    """The keys of read (key, version) that same_version leaves out: gone, or written since; an update of them counts as failed."""
+    same = same_version(current, read, key, version).select(F.col(f"`{key}`").alias("_key"))
+    return read.join(same, F.col(f"`{key}`") == F.col("_key"), "left_anti").select(F.col(f"`{key}`"))
+
+
 def with_retries(attempt: Callable[[int], bool], options: Conflicts = Conflicts()) -> int:
     """Call attempt(n) until it reports success; how many tries that took. Raises a conflict when they run out."""
     for n in range(options.retries + 1):

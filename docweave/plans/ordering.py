@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..errors import INVALID_QUERY, DocumentError
 from ..functions.paths import parse, root, values
+from ..operators.coordination import numbered
 
 
 def sort_keys(sort: list | dict | None, schema: T.StructType, last: str | None = None) -> list[Column]:
@@ -33,11 +34,22 @@ def sort_keys(sort: list | dict | None, schema: T.StructType, last: str | None =
 
 
 def page(df: DataFrame, sort: list | dict | None = None, first: int | None = None, to: int | None = None, last: str | None = None) -> DataFrame:
-    """Rows first..to, both inclusive and from 0, in sorted order. A negative start is 0; to before first gives none; no end gives all."""
-    keys = sort_keys(sort, df.schema, last)
-    df = df.orderBy(*keys) if keys else df
+    """Rows first..to, both inclusive and from 0, in sorted order. A negative start is 0; to before first gives none; no end gives all.
+
+    Without a sort and a range nothing is sorted. A range without an end numbers the rows by parts, so that no task
+    skips over all of them.
+    """
     start = max(0, first or 0)
     if to is not None and to < start:
         return df.limit(0)
-    df = df.offset(start) if start else df
-    return df if to is None else df.limit(to - start + 1)
+    if not sort and to is None and not start:
+        return df
+    keys = sort_keys(sort, df.schema, last)
+    if to is not None:
+        df = df.orderBy(*keys) if keys else df
+        return (df.offset(start) if start else df).limit(to - start + 1)
+    if not start:
+        return df.orderBy(*keys)
+    if not keys:
+        return df.offset(start)  # any rows but so many: there is no order to keep
+    return numbered(df, keys, "_rank").where(F.col("_rank") >= start).orderBy("_rank").drop("_rank")

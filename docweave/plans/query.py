@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,7 @@ def _query(q: dict, at: Node, loose: bool = False) -> Column:
     if "contains" in q:
         return _contains(q, at)
     if "regex" in q:
-        return _regex(q, at)
+        return _regex(q, at, loose)
     if "field" not in q or "op" not in q:
         raise DocumentError(INVALID_QUERY, json.dumps(q))
     op = q["op"]
@@ -74,8 +75,14 @@ def _each(node: Node, test) -> Column:
     return test(node)
 
 
+def _id(path: list, value: object) -> object:
+    """Ids of 24 hex digits are stored in lower case, so literals for them are compared so."""
+    return value.lower() if path[-1] == "_id" and isinstance(value, str) and re.fullmatch(r"[0-9a-fA-F]{24}", value) else value
+
+
 def _value(q: dict, op: str, at: Node, loose: bool) -> Column:
-    path, value = parse(q["field"]), q.get("rvalue")
+    path = parse(q["field"])
+    value = _id(path, q.get("rvalue"))
     if value is None:
         if op not in ("=", "!="):
             raise DocumentError(INVALID_COMPARISON, "order against null")
@@ -103,12 +110,14 @@ def _in_values(q: dict, at: Node, loose: bool) -> Column:
     if not isinstance(listed, list):
         raise DocumentError(INVALID_QUERY, "values must be a list")
 
+    path = parse(q["field"])
+
     def test(node: Node) -> Column:
-        known = [literal(v, node.kind) for v in listed if v is not None]
+        known = [literal(_id(path, v), node.kind) for v in listed if v is not None]
         found = (node.column.isin(*known) if loose else two_valued(node.column.isin(*known))) if known else F.lit(False)
         return found | node.column.isNull() if None in listed else found
 
-    return bind(at, parse(q["field"]), lambda n: _each(n, test))
+    return bind(at, path, lambda n: _each(n, test))
 
 
 def _in_field(q: dict, at: Node) -> Column:
@@ -142,7 +151,7 @@ def _arrays(a: Node, b: Node, op: str) -> Column:
     return ~found if op == "!=" else found
 
 
-def _regex(q: dict, at: Node) -> Column:
+def _regex(q: dict, at: Node, loose: bool) -> Column:
     named = {"caseInsensitive": "i", "case_insensitive": "i", "multiline": "m", "extended": "x", "dotall": "s"}
     flags = {v for k, v in named.items() if q.get(k)} | (set(q.get("options") or "") & set("imxs"))
     pattern = (f"(?{''.join(sorted(flags))})" if flags else "") + q["regex"]
@@ -150,7 +159,8 @@ def _regex(q: dict, at: Node) -> Column:
     def test(node: Node) -> Column:
         if not isinstance(node.kind, T.StringType):
             raise DocumentError(INVALID_COMPARISON, f"regex of {node.kind.simpleString()}")
-        return two_valued(node.column.rlike(pattern))
+        found = node.column.rlike(pattern)
+        return found if loose else two_valued(found)
 
     return bind(at, parse(q["field"]), lambda n: _each(n, test))
 
@@ -224,9 +234,25 @@ def fields_read(query: dict | None, projection: list | dict | None = None, sort:
             for key, value in q.items():
                 if key in ("field", "rfield", "array"):
                     out.add(str(parse(value)[0]))
+                elif key == "elemMatch":
+                    leaving(value, 1)
                 elif key in ("$and", "$or", "$not"):
                     walk(value)
 
+    def leaving(q: object, depth: int) -> None:
+        """Fields that an element's query reads outside the element: one $parent leaves it for the array, another for what holds it."""
+        if isinstance(q, list):
+            for x in q:
+                leaving(x, depth)
+        elif isinstance(q, dict):
+            for key, value in q.items():
+                if key in ("field", "rfield", "array"):
+                    path = parse(value)
+                    up = next((i for i, s in enumerate(path) if s != "$parent"), len(path))
+                    if up == 2 * depth and up < len(path):
+                        out.add(str(path[up]))
+                leaving(value, depth + (key == "elemMatch"))
+
     walk(query)
     walk(projection)
     for item in sort if isinstance(sort, list) else [sort] if sort else []:

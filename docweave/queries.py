@@ -191,34 +191,34 @@ def _(s, d):
     return matching(table(s, d, "orders"), query).agg(F.count("*").alias("matched"))
 
 
-@register("data_size", "SELECT sum(octet_length(('{\"r_regionkey\":' || r_regionkey || ',\"r_name\":\"' || r_name || '\"}')::BLOB))::BIGINT AS bytes FROM region")
+@register("data_size", "SELECT sum(octet_length(('{\"c_custkey\":' || c_custkey || ',\"c_name\":\"' || c_name || '\",\"c_nationkey\":' || c_nationkey || ',\"c_mktsegment\":\"' || c_mktsegment || '\"}')::BLOB))::BIGINT AS bytes FROM customer")
 def _(s, d):
-    df = table(s, d, "region")
+    df = table(s, d, "customer").drop("c_acctbal")
     return df.agg(F.sum(mutate.data_size(df)).alias("bytes"))
 
 
 # Associations.
 @register("assoc_scalar", "SELECT c_custkey, count(o_orderkey) AS n, min(o_orderkey) AS first FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
 def _(s, d):
-    df = associate.associate(table(s, d, "customer"), table(s, d, "orders"), "c_custkey", "o_custkey", "$parent.c_custkey", "orders")
+    df = associate.associate(table(s, d, "customer"), table(s, d, "orders"), "c_custkey", "o_custkey", "$parent.c_custkey", "orders", ["o_orderkey"])
     return df.select("c_custkey", F.coalesce(F.size("orders"), F.lit(0)).cast("long").alias("n"), F.array_min("orders.o_orderkey").alias("first"))
 
 
 @register("assoc_array_in", "SELECT o_orderkey, count(DISTINCT p_partkey) AS n, min(p_size) AS least FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1")
 def _(s, d):
-    df = associate.associate(order_docs(s, d), table(s, d, "part"), "o_orderkey", "p_partkey", "$parent.lines.*.partkey", "parts")
+    df = associate.associate(order_docs(s, d), table(s, d, "part"), "o_orderkey", "p_partkey", "$parent.lines.*.partkey", "parts", ["p_size"])
     return df.select("o_orderkey", F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n"), F.array_min("parts.p_size").alias("least"))
 
 
 @register("assoc_empty", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def _(s, d):
-    df = associate.associate(order_docs(s, d), table(s, d, "part"), "o_orderkey", "p_partkey", "$parent.lines.*.partkey", "parts")
+    df = associate.associate(order_docs(s, d), table(s, d, "part"), "o_orderkey", "p_partkey", "$parent.lines.*.partkey", "parts", ["p_size"])
     return df.where("parts is null").select("o_orderkey")
 
 
 @register("assoc_in_elements", "SELECT l_orderkey AS o_orderkey, l_linenumber AS linenumber, l_suppkey AS suppkey, s_name FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN supplier ON s_suppkey = l_suppkey")
 def _(s, d):
-    df = associate.associate_elements(order_docs(s, d), table(s, d, "supplier"), "o_orderkey", "lines", "s_suppkey", "suppkey", "supplier")
+    df = associate.associate_elements(order_docs(s, d), table(s, d, "supplier"), "o_orderkey", "lines", "s_suppkey", "suppkey", "supplier", ["s_name"])
     return df.select("o_orderkey", F.explode("lines").alias("e")).select("o_orderkey", "e.linenumber", "e.suppkey", "e.supplier.s_name")
 
 
@@ -259,10 +259,10 @@ line_updates("update_foreach", _F, {"$foreach": {"lines": {"field": "returnflag"
 line_updates("update_foreach_remove", _F, {"$foreach": {"lines": {"field": "quantity", "op": "<", "rvalue": 25}, "$update": "$remove"}}, ["partkey", "quantity"], "SELECT o_orderkey, l_partkey AS partkey, l_quantity AS quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE NOT (o_orderstatus = 'F' AND l_quantity < 25)")
 
 
-@register("update_insert_at", "SELECT vec_id, unnest([embedding[1], 7, 8, embedding[2]]) AS x FROM embeddings WHERE label = 1 UNION ALL SELECT vec_id, unnest(embedding[1:4]) FROM embeddings WHERE label IS DISTINCT FROM 1")
+@register("update_insert_at", "SELECT vec_id, unnest(e) AS x, (generate_subscripts(e, 1) - 1)::BIGINT AS pos FROM (SELECT vec_id, CASE WHEN label = 1 THEN list_concat(embedding[1:1], [7::FLOAT, 8::FLOAT], embedding[2:]) ELSE embedding END AS e FROM embeddings)")
 def _(s, d):
     df = mutate.update(table(s, d, "embeddings"), {"field": "label", "op": "=", "rvalue": 1}, {"$insert": {"embedding.1": [7, 8]}})
-    return df.select("vec_id", F.explode(F.slice("embedding", 1, 4)).alias("x"))
+    return df.select("vec_id", F.posexplode("embedding").alias("pos", "x")).withColumn("pos", F.col("pos").cast("long"))
 
 
 @register("update_counts", "SELECT count(*) FILTER (o_orderstatus = 'F') AS matched, count(*) FILTER (o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT') AS updated, 0::BIGINT AS failed FROM orders")
@@ -316,13 +316,81 @@ def _(s, d):
     return mutate.merge_invisible(old, old.select("o_orderkey", "o_orderstatus"), "o_orderkey").select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
-@register("merge_invisible_elements", "SELECT DISTINCT l_orderkey AS o_orderkey, l_partkey AS partkey, l_shipdate AS shipdate FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE (SELECT count(*) FROM lineitem x WHERE x.l_orderkey = o_orderkey AND x.l_partkey = lineitem.l_partkey) = 1")
+_ELEMENTS = f"""
+WITH r AS (SELECT o_orderkey, i, n, l_partkey, l_shipdate FROM {_ROWS}), twice AS (SELECT o_orderkey, count(DISTINCT l_partkey) < count(*) AS twice FROM r GROUP BY 1)
+SELECT a.o_orderkey, (a.n - 1 - a.i)::BIGINT AS pos, a.l_partkey AS partkey, CASE WHEN twice THEN b.l_shipdate ELSE a.l_shipdate END AS shipdate
+FROM r a JOIN twice t ON t.o_orderkey = a.o_orderkey JOIN r b ON b.o_orderkey = a.o_orderkey AND b.i = a.n - 1 - a.i
+"""
+
+
+@register("merge_invisible_elements", _ELEMENTS)
 def _(s, d):
+    """Elements turned round: hidden fields follow their part, or stay in place where a part stands twice."""
     old = order_docs(s, d)
     new = old.select("o_orderkey", F.reverse(F.transform("lines", lambda e: F.struct(e["partkey"].alias("partkey"), e["quantity"].alias("quantity")))).alias("lines"))
-    df = mutate.merge_invisible(old, new, "o_orderkey", {"lines": "partkey"}).select("o_orderkey", F.explode("lines").alias("e")).select("o_orderkey", "e.partkey", "e.shipdate")
-    once = old.select("o_orderkey", F.explode("lines.partkey").alias("partkey")).groupBy("o_orderkey", "partkey").count().where("count = 1").drop("count")
-    return df.join(once, ["o_orderkey", "partkey"]).select("o_orderkey", "partkey", "shipdate").distinct()
+    df = mutate.merge_invisible(old, new, "o_orderkey", {"lines": "partkey"})
+    return df.select("o_orderkey", F.posexplode("lines").alias("pos", "e")).select("o_orderkey", F.col("pos").cast("long").alias("pos"), "e.partkey", "e.shipdate")
+
+
+def _order_batch(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A collection of orders, and new documents: every fourth one changed, every eighth a second time with a later turn, and some without an id."""
+    o = table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("_id"), F.col("o_orderstatus").alias("status"), "o_totalprice", F.lit(1).alias("turn"), F.col("o_orderkey").alias("k"))
+    again = o.where("k % 4 = 0").withColumns({"status": F.lit("first"), "turn": F.lit(2)})
+    twice = o.where("k % 8 = 0").withColumns({"status": F.lit("second"), "turn": F.lit(3)})
+    return o.where("k % 3 <> 0"), twice.unionByName(again)
+
+
+@register("save_last_wins", "SELECT o_orderkey::VARCHAR AS _id, CASE WHEN o_orderkey % 8 = 0 THEN 'second' WHEN o_orderkey % 4 = 0 THEN 'first' ELSE o_orderstatus END AS status FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 4 = 0")
+def _(s, d):
+    base, new = _order_batch(s, d)
+    return mutate.save(base, new, ["_id"], True, order="turn")[0].select("_id", "status")
+
+
+@register("save_counts", "SELECT count(*) FILTER (o_orderkey % 4 = 0 AND o_orderkey % 3 = 0) AS inserted, count(*) FILTER (o_orderkey % 4 = 0 AND o_orderkey % 3 <> 0) AS saved, count(*) FILTER (o_orderkey % 8 = 0) AS superseded, 0::BIGINT AS failed FROM orders")
+def _(s, d):
+    base, new = _order_batch(s, d)
+    return mutate.tally(mutate.save(base, new, ["_id"], True, order="turn")[1])
+
+
+@register("insert_request", "SELECT length(i) AS id_length, status, n FROM (SELECT CASE WHEN o_orderkey % 8 = 0 THEN repeat('x', 24) ELSE o_orderkey::VARCHAR END AS i, 'new' AS status, count(*)::BIGINT AS n FROM orders WHERE o_orderkey % 4 = 0 AND (o_orderkey % 3 = 0 OR o_orderkey % 8 = 0) GROUP BY ALL) t ORDER BY ALL")
+def _(s, d):
+    """New documents, some without an id and some with one that is taken: each that is written has an id and a version."""
+    base, _new = _order_batch(s, d)
+    new = table(s, d, "orders").where("o_orderkey % 4 = 0").select(F.when(F.col("o_orderkey") % 8 > 0, F.col("o_orderkey").cast("string")).alias("_id"), F.lit("new").alias("status"), "o_totalprice", F.lit(1).alias("turn"), F.col("o_orderkey").alias("k"))
+    done = request.write(base, {"data": new, "projection": {"field": "*"}}, "insert", mark="v1")
+    written = done.collection.where("status = 'new' and docver[0].version = 'v1'")
+    named = F.when(F.length("_id") == 24, F.lit("x" * 24)).otherwise(F.col("_id"))
+    return written.groupBy(named.alias("i"), "status").agg(F.count("*").alias("n")).select(F.length("i").cast("long").alias("id_length"), "status", "n")
+
+
+@register("update_request", "SELECT c_custkey, CASE WHEN c_nationkey < 5 AND c_acctbal >= 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_nationkey < 5 AND c_acctbal >= 0 THEN 'v2' END AS ver FROM customer")
+def _(s, d):
+    """An update by a role that may not write the balance: documents whose balance it would change stay as they were, and only what changed is stamped."""
+    _old, version = _customer_versions(s, d)
+    change = [{"$unset": "c_mktsegment"}, {"$foreach": {"debts": {"field": "$this", "op": "<", "rvalue": 0}, "$update": {"$set": {"$this": 0}}}}]
+    docs = table(s, d, "customer").withColumn("debts", F.array("c_acctbal"))
+    shut = catalog.Version("customer", "2.0", version.schema, access=version.access, field_access={"debts": {"update": ["chief"]}})
+    done = request.write(docs, {"query": {"field": "c_nationkey", "op": "<", "rvalue": 5}, "update": change}, "update", shut, {"clerk"}, "c_custkey", mark="v2")
+    return done.collection.select("c_custkey", "c_mktsegment", F.get("docver", F.lit(0)).getField("version").alias("ver"))
+
+
+@register("merge_invisible_nested", "SELECT o_orderkey, i::BIGINT AS pos, l_partkey AS partkey, l_shipdate AS shipdate FROM (SELECT o_orderkey, l_partkey, l_shipdate, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS i FROM orders JOIN lineitem ON l_orderkey = o_orderkey)")
+def _(s, d):
+    """Hidden fields of elements in an object: line numbers stand twice in some orders, so elements are matched by position there, elsewhere by number."""
+    old = order_docs(s, d).select("o_orderkey", F.struct("lines", F.col("o_orderpriority").alias("priority")).alias("box"))
+    new = old.select("o_orderkey", F.struct(F.transform("box.lines", lambda e: F.struct(e["linenumber"].alias("linenumber"), e["partkey"].alias("partkey"))).alias("lines")).alias("box"))
+    df = mutate.merge_invisible(old, new, "o_orderkey", {"box.lines": "linenumber"})
+    return df.select("o_orderkey", F.posexplode("box.lines").alias("pos", "e")).select("o_orderkey", F.col("pos").cast("long").alias("pos"), "e.partkey", "e.shipdate")
+
+
+@register("reindex_some", "SELECT s_suppkey, CASE WHEN s_nationkey < 10 THEN upper(s_name) END AS upper_s_name FROM supplier")
+def _(s, d):
+    return mutate.reindex(table(s, d, "supplier"), ["s_name"], {"field": "s_nationkey", "op": "<", "rvalue": 10}).select("s_suppkey", "upper_s_name")
+
+
+@register("page_open_end", "SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS r FROM orders) WHERE r > 20")
+def _(s, d):
+    return ordering.page(table(s, d, "orders"), {"o_orderdate": "$desc"}, 20, None, "o_orderkey").select("o_orderkey")
 
 
 @register("hidden_upper", "SELECT s_suppkey, upper(s_name) AS upper_s_name FROM supplier")
@@ -362,6 +430,22 @@ def _(s, d):
     return versions.lost_updates(now, o.where("o_orderstatus = 'F'"), "o_orderkey", "docver", "mine").select("o_orderkey")
 
 
+@register("update_lost", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'lost' WHEN o_orderkey % 4 = 1 THEN 'updated' WHEN o_orderkey % 4 = 2 THEN 'failed' ELSE 'lost' END AS outcome FROM orders WHERE o_orderstatus = 'F'")
+def _(s, d):
+    """Orders that we updated, when another writer has deleted some, closed some, and touched others that still match."""
+    o = table(s, d, "orders")
+    kind = "array<struct<version:string,ms:bigint>>"
+    entry_of = lambda name: versions.stamp(F.lit(None).cast(kind), name, 1000)
+    now = o.where("o_orderkey % 4 <> 0").withColumn("docver", F.when(F.col("o_orderkey") % 4 == 1, entry_of("mine")).otherwise(entry_of("theirs")))
+    now = now.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 == 3, "X").otherwise(F.col("o_orderstatus")))
+    return versions.outcomes(o.where("o_orderstatus = 'F'"), now, "o_orderkey", "docver", "mine", _F)
+
+
+@register("entity_names", "SELECT * FROM (VALUES ('customer', 'deprecated'), ('customer', 'active')) t(name, status)")
+def _(s, d):
+    return s.createDataFrame([(v.name, v.status) for v in _customer_versions(s, d)], "name string, status string").distinct()
+
+
 @register("version_text", "SELECT o_orderkey, o_orderkey::VARCHAR AS id, CASE WHEN o_orderkey % 5 > 0 THEN (o_orderkey % 7)::VARCHAR END AS version FROM orders")
 def _(s, d):
     df = _versioned(s, d).withColumn("t", versions.text(F.col("o_orderkey"), F.col("ver")))
@@ -369,15 +453,34 @@ def _(s, d):
     return df.select("o_orderkey", key.alias("id"), version.alias("version"))
 
 
-@register("sequence_ids", "SELECT n_nationkey, 100 + 10 * (row_number() OVER (ORDER BY n_nationkey) - 1) AS seq FROM nation")
+@register("sequence_ids", "SELECT o_orderkey, 100 + 10 * (row_number() OVER (ORDER BY o_orderkey) - 1) AS seq FROM orders")
 def _(s, d):
-    from .sources.store import ensure_checkpoint_dir
+    return coordination.sequence(table(s, d, "orders"), ["o_orderkey"], "seq", 100, 10).select("o_orderkey", "seq")
 
-    ensure_checkpoint_dir(s)
-    return coordination.sequence(table(s, d, "nation"), ["n_nationkey"], "seq", 100, 10).select("n_nationkey", "seq")
 
+_LOCKS = """
+WITH RECURSIVE e AS (
+  SELECT 'r' || user_id AS resource, event_id AS seq, epoch_ms(ts) AS ms, 'c' || (event_id % 3) AS caller,
+    CASE event_type WHEN 'purchase' THEN 'release' WHEN 'error' THEN 'ping' ELSE 'acquire' END AS action,
+    row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS k FROM events
+), s AS (
+  SELECT DISTINCT resource, 0::BIGINT AS k, NULL::VARCHAR AS owner, 0::BIGINT AS n, 0::BIGINT AS until, NULL::BIGINT AS seq, NULL::VARCHAR AS caller, NULL::VARCHAR AS action, NULL::BOOLEAN AS ok, 0::BIGINT AS count FROM e
+  UNION ALL
+  SELECT resource, k,
+    CASE WHEN action = 'acquire' AND NOT mine AND free THEN caller WHEN action = 'release' AND mine AND n <= 1 THEN NULL ELSE owner END,
+    CASE WHEN action = 'acquire' AND mine THEN n + 1 WHEN action = 'acquire' AND free THEN 1 WHEN action = 'release' AND mine THEN n - 1 ELSE n END,
+    CASE WHEN action = 'acquire' AND (mine OR free) OR action = 'ping' AND mine THEN ms + 3600000 ELSE until END,
+    seq, caller, action,
+    CASE WHEN action = 'acquire' THEN mine OR free WHEN NOT mine THEN NULL WHEN action = 'release' THEN n <= 1 ELSE true END,
+    CASE WHEN action = 'acquire' AND mine THEN n + 1 WHEN action = 'acquire' AND free THEN 1 WHEN NOT mine OR action = 'acquire' THEN 0 WHEN action = 'release' THEN greatest(n - 1, 0) ELSE n END
+  FROM (SELECT e.*, s.owner, s.n, s.until, coalesce(s.owner = e.caller AND s.until > e.ms, false) AS mine, s.owner IS NULL OR s.until <= e.ms OR s.n <= 0 AS free
+    FROM s JOIN e ON e.resource = s.resource AND e.k = s.k + 1)
+)
+SELECT resource, seq, caller, action, ok, count FROM s WHERE seq IS NOT NULL
+"""
 
-@register("lock_transitions")
+
+@register("lock_transitions", _LOCKS)
 def _(s, d):
     e = table(s, d, "events")
     action = F.when(F.col("event_type") == "purchase", "release").when(F.col("event_type") == "error", "ping").otherwise("acquire")
@@ -448,9 +551,14 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = {"$and": [{"field": "o_orderstatus", "op": "$in", "values": ["F", "O"]}, {"array": "lines", "elemMatch": {"$and": [{"field": "quantity", "op": ">", "rvalue": 40}, {"field": "returnflag", "op": "=", "rvalue": "R"}]}}]}
     found = matching(order_docs(spark, sf_dir), query)
     first = ordering.page(found, [{"o_totalprice": "$desc"}], 0, 99, "o_orderkey")
-    joined = associate.associate(first, table(spark, sf_dir, "customer"), "o_orderkey", "c_custkey", "$parent.o_custkey", "customer")
+    joined = associate.associate(first, table(spark, sf_dir, "customer"), "o_orderkey", "c_custkey", "$parent.o_custkey", "customer", ["c_name"])
     items = [{"field": "o_orderkey"}, {"field": "o_totalprice"}, {"field": "lines.*.partkey"}, {"field": "lines.*.quantity"}, {"field": "customer.*.c_name"}]
     return ordering.page(projection.project(joined, items), [{"o_totalprice": "$desc"}], last="o_orderkey")
 
 
-register("flagship", None)(entry)
+@register("flagship", """
+SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n_lines, (SELECT sum(l_quantity) FROM lineitem WHERE l_orderkey = o_orderkey) AS quantity, (SELECT any_value(c_name) FROM customer WHERE c_custkey = o_custkey) AS customer
+FROM orders o WHERE o_orderstatus IN ('F', 'O') AND EXISTS (SELECT 1 FROM lineitem l WHERE l_orderkey = o_orderkey AND l_quantity > 40 AND l_returnflag = 'R') ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""")
+def _(s, d):
+    total = F.aggregate("lines.quantity", F.lit(0.0), lambda a, x: a + x)
+    return entry(s, d).select("o_orderkey", "o_totalprice", F.size("lines").cast("long").alias("n_lines"), total.alias("quantity"), F.get("customer.c_name", F.lit(0)).alias("customer"))

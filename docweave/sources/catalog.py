@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import INVALID_METADATA, UNKNOWN_ENTITY, UNKNOWN_VERSION, DocumentError
+from .store import Store
 
 STATUSES = ("active", "deprecated", "disabled")
 #: What a role may be allowed on an entity; find and update also on a field.
@@ -26,6 +27,7 @@ class Entity:
     path: str
     default_version: str | None = None
     indexes: list[dict[str, Any]] = field(default_factory=list)
+    manage_indexes: bool | None = None
 
 
 @dataclass
@@ -120,6 +122,14 @@ class Catalog:
             raise DocumentError(UNKNOWN_VERSION, f"{name} {wanted}")
         return Version(**found)
 
+    def documents(self, name: str, version: str | None = None) -> DataFrame:
+        """The entity's documents as a version (the default one) sees them: its path holds a store's snapshots or plain Parquet files."""
+        entity, seen = self.entity(name), self.version(name, version)
+        if seen.status == "disabled":
+            raise DocumentError(UNKNOWN_VERSION, f"{name} {seen.version} is disabled")
+        store = Store(self.spark, entity.path)
+        return seen.view(store.read() if store.versions() else self.spark.read.parquet(entity.path))
+
     def create(self, entity: Entity, first: Version) -> None:
         """A new entity with its first version; if the version can't be written, neither is the entity."""
         if entity.default_version not in (None, first.version):
@@ -151,6 +161,7 @@ class Catalog:
         names = set(version.struct().names)
         if version.status not in STATUSES:
             raise DocumentError(INVALID_METADATA, f"status {version.status}")
+        check_indexes((entity or self.entity(version.name)).indexes)
         wrong = [p for i in (entity or self.entity(version.name)).indexes for p in i["fields"] if p.split(".")[0] not in names]
         if wrong:
             raise DocumentError(INVALID_METADATA, f"index on unknown fields {wrong}")
@@ -187,13 +198,44 @@ def access_rows(spark: SparkSession, versions: list[Version]) -> DataFrame:
     return spark.createDataFrame(rows, "role string, operation string, path string").groupBy("role", "operation").agg(F.sort_array(F.collect_set("path")).alias("paths"))
 
 
+def signature(index: dict[str, Any]) -> tuple[str, ...]:
+    """What makes two indexes compete: their fields and directions, in order."""
+    return tuple(f"{f}:{d}" for f, d in zip(index["fields"], index.get("directions", ["$asc"] * len(index["fields"])), strict=True))
+
+
+def check_indexes(indexes: list[dict[str, Any]]) -> None:
+    """No two indexes on the same fields, and none on the elements of an array as such (a path that ends in *)."""
+    seen = [signature(i) for i in indexes]
+    twice = sorted({s for s in seen if seen.count(s) > 1})
+    if twice:
+        raise DocumentError(INVALID_METADATA, f"two indexes on {twice}")
+    if any(p.split(".")[-1] == "*" for i in indexes for p in i["fields"]):
+        raise DocumentError(INVALID_METADATA, "an index path ends in *")
+
+
+def manages_indexes(config: dict[str, Any], entity: Entity) -> bool:
+    """Whether an entity's indexes are kept up: its own flag, else the configuration's lists of managed and unmanaged entities, else yes."""
+    if entity.manage_indexes is not None:
+        return entity.manage_indexes
+    if config.get("managedEntities") is not None:
+        return entity.name in config["managedEntities"]
+    return entity.name not in (config.get("unmanagedEntities") or [])
+
+
 def index_changes(declared: list[dict[str, Any]], existing: list[dict[str, Any]]) -> tuple[list[dict[str, Any]], list[dict[str, Any]]]:
     """Indexes to make and to drop so that those existing are those declared.
 
-    Indexes are the same if their fields and options agree. A named one whose fields or options differ is dropped and
-    made anew; an unnamed one that is no longer declared goes; the unique index on _id always stays.
+    A named index whose fields or options differ from the existing one of its name is made anew, and so is one that
+    exists on the same fields under another name. An unnamed one stays if an index with its fields and options exists.
+    What isn't declared goes; the unique index on _id always stays.
     """
-    plain = lambda i: json.dumps({k: v for k, v in i.items() if k != "name"}, sort_keys=True)
-    wanted, have = {plain(i) for i in declared}, {plain(i) for i in existing}
-    make = [i for i in declared if plain(i) not in have]
-    return make, [i for i in existing if plain(i) not in wanted and i["fields"] != ["_id"]]
+    options = lambda i: {k: v for k, v in i.items() if k != "name"}
+    kept: list[int] = []
+    make = []
+    for i in declared:
+        same = [k for k, e in enumerate(existing) if k not in kept and signature(e) == signature(i) and options(e) == options(i) and (not i.get("name") or e.get("name") == i["name"])]
+        if same:
+            kept.append(same[0])
+        else:
+            make.append(i)
+    return make, [e for k, e in enumerate(existing) if k not in kept and e["fields"] != ["_id"]]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -10,41 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import CONFLICT, DUPLICATE, DocumentError
+from ..functions.files import Files
 from ..operators.mutate import duplicates
 from ..operators.versions import Conflicts
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; a local session without one gets a temporary folder."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="docweave-"))
-
-
 class Store:
     """One collection: <path>/data/<id> folders of Parquet, and <path>/commits/<n> files that name the folder of version n.
 
-    Works on any file system that Spark reads. Creating a commit file fails if it exists, so of two writers that read
-    version n one becomes n + 1 and the other starts again from there.
+    Creating a commit file fails if it exists (see Files), so of two writers that read version n one becomes n + 1 and
+    the other starts again from there.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark, path)
 
     def versions(self) -> list[int]:
-        folder = self._path(f"{self.path}/commits")
-        if not self._fs.exists(folder):
-            return []
-        return sorted(int(s.getPath().getName()) for s in self._fs.listStatus(folder) if s.getPath().getName().isdigit())
+        return self.files.numbers("commits")
 
     def _folder(self, version: int) -> str:
-        return f"{self.path}/data/" + self.spark.read.text(f"{self.path}/commits/{version:09d}").first()[0]
+        return f"{self.path}/data/" + self.files.text(f"commits/{version:09d}")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The newest snapshot, or a given one."""
@@ -60,13 +44,9 @@ class Store:
         name = uuid.uuid4().hex
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{self.path}/data/{name}")
-        try:
-            out = self._fs.create(self._path(f"{self.path}/commits/{version:09d}"), False)
-        except Exception as e:  # another writer was first
-            self._fs.delete(self._path(f"{self.path}/data/{name}"), True)
-            raise DocumentError(CONFLICT, f"version {version} exists") from e
-        out.write(bytearray(name.encode()))
-        out.close()
+        if not self.files.create(f"commits/{version:09d}", name):  # another writer was first
+            self.files.delete(f"data/{name}")
+            raise DocumentError(CONFLICT, f"version {version} exists")
         return version
 
     def change(self, transform: Callable[[DataFrame], DataFrame], unique: list[list[str]] = (), options: Conflicts = Conflicts()) -> int:

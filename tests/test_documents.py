@@ -104,6 +104,8 @@ def test_update_reports_what_it_matched_and_changed(docs):
 
 def test_size_limit_stops_before_writing(docs):
     total = mutate.check_size(docs, 1 << 20)
+    with pytest.warns(UserWarning, match="bytes"):
+        mutate.check_size(docs, 1 << 20, 10)
     with pytest.raises(DocumentError):
         mutate.check_size(docs, total - 1)
 
@@ -187,6 +189,130 @@ def test_index_changes():
     assert make == [{"name": "i", "fields": ["a"], "unique": True}] and drop == old[1:]
 
 
+def test_indexes_are_remade_and_checked(spark):
+    named = [{"name": "i", "fields": ["a"]}, {"fields": ["b"]}]
+    assert catalog.index_changes([{"name": "j", "fields": ["a"]}, {"fields": ["b"]}], named) == ([{"name": "j", "fields": ["a"]}], [named[0]])
+    assert catalog.index_changes([{"fields": ["a"]}, {"fields": ["b"], "unique": True}], named) == ([{"fields": ["b"], "unique": True}], [named[1]])
+    for bad in ([{"fields": ["a"]}, {"fields": ["a"], "unique": True}], [{"fields": ["o.*"]}]):
+        with pytest.raises(DocumentError):
+            catalog.check_indexes(bad)
+    catalog.check_indexes([{"fields": ["a"]}, {"fields": ["a"], "directions": ["$desc"]}])
+    e = lambda flag=None: catalog.Entity("t", "x", manage_indexes=flag)
+    assert [catalog.manages_indexes(c, x) for c, x in (({}, e()), ({"managedEntities": ["u"]}, e()), ({"managedEntities": ["u"]}, e(True)), ({"unmanagedEntities": ["t"]}, e()), ({}, e(False)))] == [True, False, True, False, False]
+
+
+def test_catalog_opens_the_entitys_documents(spark, docs, tmp_path):
+    cat = catalog.Catalog(spark, str(tmp_path / "meta"))
+    few = T.StructType([docs.schema["_id"], T.StructField("later", T.LongType())])
+    docs.write.parquet(str(tmp_path / "plain"))
+    Store(spark, str(tmp_path / "store")).create(docs.where("_id < '3'"))
+    for name, n in (("plain", 4), ("store", 2)):
+        cat.create(catalog.Entity(name, str(tmp_path / name), "1"), catalog.Version(name, "1", few.json()))
+        found = cat.documents(name)
+        assert found.columns == ["_id", "later"] and found.count() == n
+
+
+def test_ids_are_given_and_missing_ones_are_no_duplicates(spark):
+    base = spark.createDataFrame([("a", 1)], "_id string, n int")
+    new = spark.createDataFrame([(None, 2), (None, 3), ("b", 4), ("b", 5), ("a", 6)], "_id string, n int")
+    _, result = mutate.insert(base, new)
+    assert {r.n: r._errors for r in result.collect()} == {2: [], 3: [], 4: [], 5: ["duplicate:_id"], 6: ["duplicate:_id"]}
+    after, _ = mutate.insert(base, mutate.with_ids(new))
+    first, again = after.collect(), after.collect()
+    assert sorted(first) == sorted(again) and sorted(r.n for r in first) == [1, 2, 3, 4]
+    assert all(len(r._id) == 24 for r in first if r.n in (2, 3))
+
+
+@pytest.mark.parametrize("values", [[1, 2], [2, 1]])
+def test_the_last_saved_document_wins(spark, values):
+    base = spark.createDataFrame([("a", 0)], "_id string, n int")
+    new = spark.createDataFrame([("a", n) for n in values], "_id string, n int").coalesce(1)
+    after, result = mutate.save(base, new, ["_id"], False)
+    assert [r.n for r in after.collect()] == [values[1]]
+    assert {r.n: r._op for r in result.collect()} == {values[0]: "superseded", values[1]: "saved"}
+    assert [r.n for r in mutate.save(base, new, ["_id"], False, order="n")[0].collect()] == [2]
+
+
+def test_nothing_is_sorted_unasked(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    out, _ = request.find(orders, {"query": {"field": "o_orderstatus", "op": "=", "rvalue": "F"}, "projection": {"field": "*"}}, key="o_orderkey")
+    assert "Exchange" not in plan(out)
+    late = request.find(orders, {"sort": {"o_totalprice": "$desc"}, "range": [7, None], "projection": {"field": "*"}}, key="o_orderkey")[0]
+    assert "Limit" not in plan(late) and "SinglePartition" not in plan(late).split("Window")[0]
+    want = sorted(orders.collect(), key=lambda r: (-r.o_totalprice, r.o_orderkey))[7:]
+    assert [r.o_orderkey for r in late.collect()] == [r.o_orderkey for r in want]
+
+
+def test_hex_ids_match_in_lower_case(spark):
+    df = spark.createDataFrame([("0123456789abcdef01234567", 1), ("ABC", 2)], "_id string, n int")
+    ask = lambda q: [r.n for r in matching(df, q).collect()]
+    assert ask({"field": "_id", "op": "=", "rvalue": "0123456789ABCDEF01234567"}) == [1]
+    assert ask({"field": "_id", "op": "$in", "values": ["0123456789ABCDEF01234567", "abc"]}) == [1]
+    assert ask({"field": "_id", "op": "=", "rvalue": "ABC"}) == [2]
+
+
+def test_sequences_go_on_where_they_stopped(spark, tmp_path):
+    path = str(tmp_path / "seq")
+    first = coordination.Sequences(spark, path)
+    assert [first.take("a", 10, 5), first.take("a", 99, 7, 3), coordination.Sequences(spark, path).take("a"), first.take("b", increment=0)] == [10, 15, 30, 1]
+
+
+def test_locking_domains():
+    config = {"extensions": {"locking": [{"domain": "d", "datasource": "s", "collection": "locks"}]}}
+    assert coordination.domains(config, {"s": "/data/"}) == {"d": "/data/locks"} and coordination.domains({}, {}) == {}
+    with pytest.raises(DocumentError):
+        coordination.domains(config, {})
+
+
+def test_write_requests(spark):
+    base = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "_id string, n int, s string")
+    version = catalog.Version("t", "1", base.schema.json(), access={"insert": ["r"], "update": ["r"]}, field_access={"s": {"update": ["boss"], "insert": ["boss"]}})
+    with pytest.raises(DocumentError):
+        request.write(base, {"data": []}, "insert", version, {"nobody"})
+    seen = []
+    hooks = request.Hooks({"insert": [lambda df: df.withColumn("n", F.col("n") * 10)]}, {"insert": [lambda df: seen.append(df.count())]})
+    asked = json.dumps({"data": [{"n": 3}, {"_id": "c", "n": 4, "s": "no"}, {"_id": "a", "n": 5}], "projection": [{"field": "n"}, {"field": "_id"}]})
+    done = request.write(base, asked, "insert", version, {"r"}, hooks=hooks, mark="m", upper=["s"])
+    rows = {r.n: r for r in done.collection.collect()}
+    assert set(rows) == {1, 2, 30} and rows[30].docver[0].version == "m" and len(rows[30]._id) == 24 and seen == [3]
+    assert sorted((r.n or 0) for r in done.output.collect()) == [0, 0, 30] and {r._id for r in done.output.where("n is null").collect()} == {"a", "c"}
+    change = {"query": {"field": "n", "op": ">", "rvalue": 0}, "update": {"$set": {"n": 2}}, "projection": {"field": "n"}}
+    done = request.write(base, change, "update", version, {"r"}, mark="m2", upper=["s"])
+    assert {r._id: (r.n, r.docver and r.docver[0].version, r.upper_s) for r in done.collection.collect()} == {"a": (2, "m2", "X"), "b": (2, None, None)}
+    done = request.write(base, change | {"update": {"$set": {"s": "z"}}}, "update", version, {"r"})
+    assert {r.s for r in done.collection.collect()} == {"x", "y"} and all(r._errors == ["no-access:s"] for r in done.result.collect())
+    assert [r.n for r in done.output.collect()] == [None, None]
+    done = request.write(base, {"data": {"_id": "b", "n": 7}, "upsert": True}, "save", version, {"r"})
+    assert {(r._id, r.n) for r in done.collection.collect()} == {("a", 1), ("b", 7)} and done.output.columns == []
+    done = request.write(base, {"query": {"field": "_id", "op": "=", "rvalue": "b"}}, "delete")
+    assert [r._id for r in done.collection.collect()] == ["a"] and done.result.count() == 1
+    with pytest.raises(DocumentError):
+        request.write(base, {}, "delete")
+
+
+def test_hidden_fields_are_merged_at_any_depth(spark):
+    kind = "_id string, d struct<p:string,h:long,l:array<struct<k:long,v:string,in:struct<a:long,b:long>>>>, gone string"
+    old = spark.createDataFrame([("1", ("p", 5, [(1, "x", (1, 11)), (2, "y", (2, 22))]), "g"), ("2", ("q", 6, [(3, "u", (3, 33)), (3, "w", (4, 44))]), "h")], kind)
+    new = spark.createDataFrame([("1", ("P", [(2, (9,)), (7, (8,))])), ("2", ("Q", [(3, (5,)), (3, None)])), ("9", ("R", []))], "_id string, d struct<p:string,l:array<struct<k:long,in:struct<a:long>>>>")
+    got = {r._id: r for r in mutate.merge_invisible(old, new, "_id", {"d.l": "k"}).collect()}
+    assert (got["1"].d.p, got["1"].d.h, got["1"].gone) == ("P", 5, "g")
+    assert [(e.k, e.v, e["in"].a, e["in"].b) for e in got["1"].d.l] == [(2, "y", 9, 22), (7, None, 8, None)]
+    assert [(e.k, e.v, e["in"] and e["in"].b) for e in got["2"].d.l] == [(3, "u", 33), (3, "w", None)]
+    assert got["9"].d.h is None and got["9"].d.l == []
+
+
+def test_outcomes_without_reevaluation(spark):
+    now = spark.createDataFrame([("a", 1, [("other", 5)]), ("b", 0, [("mine", 5)])], "_id string, n int, docver array<struct<version:string,ms:bigint>>")
+    tried = spark.createDataFrame([("a",), ("b",), ("c",)], "_id string")
+    query = {"field": "n", "op": ">", "rvalue": 3}
+    told = lambda o: {r._id: r.outcome for r in versions.outcomes(tried, now, "_id", "docver", "mine", query, o).collect()}
+    assert told(versions.Conflicts()) == {"a": "lost", "b": "updated", "c": "lost"}
+    assert told(versions.Conflicts(reevaluate=False)) == {"a": "failed", "b": "updated", "c": "lost"}
+    read = spark.createDataFrame([("a", 1), ("b", 9), ("z", 1)], "_id string, n int")
+    assert {r._id for r in versions.skipped(now, read, "_id", "n").collect()} == {"b", "z"}
+
+
 def test_requests(spark, docs):
     version = catalog.Version("t", "1", docs.schema.json(), access={"find": ["r"]}, field_access={"d.q": {"find": ["boss"]}})
     asked = json.dumps({"query": {"field": "n", "op": ">", "rvalue": 0}, "projection": [{"field": "*", "recursive": True}], "sort": {"n": "$desc"}, "range": [-3, 1]})
