@@ -16,7 +16,7 @@ from . import common
 #: Width of a quantised projection of unit vectors; at least so many projections make a bucket.
 WIDTH, LEAST = 2.0, 10
 #: Vectors of a bucket that meet in one block.
-BLOCK = 1000
+BLOCK = 500
 
 
 def _same(distance: float) -> float:
@@ -38,87 +38,109 @@ def plan(rows: int, threshold: float) -> tuple[int, int]:
 
 
 def _units(vectors: DataFrame) -> DataFrame:
-    """vec_id, label, unit (bytes of doubles; null if the vector links with nothing), hi and lo: a digest of label and vector."""
+    """vec_id, label, dims, raw (the components' bytes, as floats where nothing is lost; null if the vector links with nothing), hi and lo: a digest of label and vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, labels, rows = (batch.column(i) for i in range(3))
-            units, his, los = [], [], []
+            raws, his, los = [], [], []
             for i, label, v in zip(ids.to_pylist(), labels.to_pylist(), rows.to_pylist(), strict=True):
-                unit = None
+                raw = None
                 if i is not None and label is not None and v and None not in v:
                     x = np.array(v, dtype=np.float64)
-                    if np.isfinite(x).all() and (top := np.abs(x).max()) > 0:
-                        x = x / top
-                        unit = (x / np.sqrt(x @ x)).tobytes()
-                units.append(unit)
-                hi, lo = np.frombuffer(xxhash.xxh3_128_digest(repr(label).encode() + b"|" + (np.array(v, dtype=np.float64).tobytes() if unit else b"")), dtype=np.int64).tolist()
+                    if np.isfinite(x).all() and np.any(x):
+                        with np.errstate(over="ignore"):
+                            single = x.astype(np.float32)
+                        raw = (single if (single.astype(np.float64) == x).all() else x).tobytes()
+                raws.append(raw)
+                hi, lo = np.frombuffer(xxhash.xxh3_128_digest(repr(label).encode() + b"|" + (np.array(v, dtype=np.float64).tobytes() if raw else b"")), dtype=np.int64).tolist()
                 his.append(hi)
                 los.append(lo)
-            yield pa.RecordBatch.from_arrays([ids, labels.cast(pa.string()), pa.array(units, pa.binary()), pa.array(his, pa.int64()), pa.array(los, pa.int64())], names=["vec_id", "label", "unit", "hi", "lo"])
+            dims = pa.array([len(v) if v else 0 for v in rows.to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([ids, labels.cast(pa.string()), dims, pa.array(raws, pa.binary()), pa.array(his, pa.int64()), pa.array(los, pa.int64())], names=["vec_id", "label", "dims", "raw", "hi", "lo"])
 
-    return vectors.select("vec_id", "label", "embedding").mapInArrow(run, "vec_id long, label string, unit binary, hi long, lo long")
+    return vectors.select("vec_id", "label", "embedding").mapInArrow(run, "vec_id long, label string, dims int, raw binary, hi long, lo long")
 
 
-def _buckets(reps: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
-    """Rows (bucket, id): the bucket of each vector in each table, a digest of label, table and quantised projections."""
+def unit(raw: bytes, dims: int) -> np.ndarray:
+    """The vector at length 1, in double precision."""
+    x = np.frombuffer(raw, dtype=np.float32 if len(raw) == 4 * dims else np.float64).astype(np.float64)
+    x = x / np.abs(x).max()
+    return x / np.sqrt(x @ x)
+
+
+def _hashed(reps: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
+    """reps with buckets: of each table in order, the vector's bucket, a digest of label, table and quantised projections."""
+    names = [*reps.columns, "buckets"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawn: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            out, ids = [], []
-            for i, label, unit in zip(*(batch.column(c).to_pylist() for c in ("id", "label", "unit")), strict=True):
-                x = np.frombuffer(unit, dtype=np.float64)
-                if len(x) not in drawn:
-                    r = np.random.default_rng([seed, len(x)])
-                    drawn[len(x)] = r.standard_normal((k * tables, len(x))), r.uniform(0, WIDTH, k * tables)
-                a, b = drawn[len(x)]
-                codes = np.floor((a @ x + b) / WIDTH).astype(np.int32).reshape(tables, k)
-                head = f"{label}|{len(x)}|".encode()
-                out += [xxhash.xxh3_64_intdigest(head + t.to_bytes(4) + codes[t].tobytes()) for t in range(tables)]
-                ids += [i] * tables
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(out, dtype=np.uint64).view(np.int64)), pa.array(ids, pa.int64())], names=["bucket", "id"])
-
-    return reps.select("id", "label", "unit").mapInArrow(run, "bucket long, id long")
-
-
-def _checked(blocks: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of rows (bucket, i, j, own, id, label, unit) in one block pair with a cosine of the threshold or more."""
+            out = []
+            for label, dims, raw in zip(*(batch.column(c).to_pylist() for c in ("label", "dims", "raw")), strict=True):
+                if dims not in drawn:
+                    r = np.random.default_rng([seed, dims])
+                    drawn[dims] = r.standard_normal((k * tables, dims)), r.uniform(0, WIDTH, k * tables)
+                a, b = drawn[dims]
+                codes = np.floor((a @ unit(raw, dims) + b) / WIDTH).astype(np.int32).reshape(tables, k)
+                head = f"{label}|{dims}|".encode()
+                out.append(np.array([xxhash.xxh3_64_intdigest(head + t.to_bytes(4) + codes[t].tobytes()) for t in range(tables)], dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=names)
+
+    return reps.mapInArrow(run, f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in reps.schema.fields)}, buckets array<long>")
+
+
+def block_links(i: int, j: int, table: int, own: np.ndarray, kinds: list[tuple[str, int]], x: list[np.ndarray], buckets: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The links between the vectors of blocks i and j of a bucket, as places of both ends, of which no earlier table's buckets know."""
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for kind in set(kinds):  # a digest may put unlike vectors in one bucket
+        a, b = (np.array([p for p in side.tolist() if kinds[p] == kind], dtype=np.int64) for side in (left, right))
+        if len(a) and len(b):
+            p, q = np.nonzero(np.stack([x[k] for k in a]) @ np.stack([x[k] for k in b]).T >= threshold)
+            p, q = a[p], b[q]
+            found.append((p[p < q], q[p < q]) if i == j else (p, q))
+    p, q = (np.concatenate(side) for side in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+    new = np.ones(len(p), dtype=bool)
+    for t in range(table):
+        new &= buckets[p, t] != buckets[q, t]
+    return p[new], q[new]
+
+
+def _linked(blocks: DataFrame, threshold: float) -> DataFrame:
+    """For each vector with a link in a pair of blocks: id, others (how many vectors, copies counted, it is linked with there) and root (the smallest id that these links reach).
+
+    A link is counted in the first table whose bucket both ends share, so once; links themselves are not put out.
+    """
     keys = ["bucket", "i", "j"]
-    dealt = blocks.select(*keys, "own", "id", "label", "unit").repartition(common.tasks(blocks.sparkSession), *keys).sortWithinPartitions(*keys)
-
-    def pairs(held: list[tuple]) -> list[tuple[int, int]]:
-        out = []
-        for size, label in {(len(h[4]), h[3]) for h in held}:  # a digest may put unlike vectors in one bucket
-            part = [h for h in held if len(h[4]) == size and h[3] == label]
-            ids, own = np.array([h[2] for h in part]), np.array([h[1] for h in part])
-            x = np.frombuffer(b"".join(h[4] for h in part), dtype=np.float64).reshape(len(part), -1)
-            i, j = part[0][0]
-            left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            a, b = np.nonzero(x[left] @ x[right].T >= threshold)
-            p, q = ids[left[a]], ids[right[b]]
-            if i == j:
-                p, q = p[p < q], q[p < q]
-            out += list(zip(np.minimum(p, q).tolist(), np.maximum(p, q).tolist(), strict=True))
-        return out
-
-    def batch_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+    dealt = blocks.select(*keys, "t", "own", "id", "copies", "label", "dims", "raw", "buckets").repartition(common.tasks(blocks.sparkSession), *keys).sortWithinPartitions(*keys)
+
+    def rows(now: tuple[int, int, int], held: list[tuple]) -> pa.RecordBatch | None:
+        if len(held) < 2:
+            return None
+        table, own, ids, copies, label, dims, raw, buckets = zip(*held, strict=True)
+        ids, copies = np.array(ids), np.array(copies)
+        p, q = block_links(now[1], now[2], table[0], np.array(own), list(zip(label, dims, strict=True)), [unit(r, d) for r, d in zip(raw, dims, strict=True)], np.array(buckets), threshold)
+        if not len(p):
+            return None
+        others = np.bincount(p, copies[q], len(ids)) + np.bincount(q, copies[p], len(ids))
+        nodes, roots = common.forest(ids[p], ids[q])
+        total = dict(zip(ids.tolist(), others.tolist(), strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([int(total[n]) for n in nodes.tolist()], pa.int64()), pa.array(roots)], names=["id", "others", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, out = None, [], []
+        now, held = None, []
         for batch in batches:
-            for bucket, i, j, own, vec, label, unit in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (bucket, i, j) != now:
-                    out += pairs(held) if len(held) > 1 else []
+                    if (made := rows(now, held)) is not None:
+                        yield made
                     now, held = (bucket, i, j), []
-                    if len(out) > 50_000:
-                        yield batch_of(out)
-                        out = []
-                held.append(((i, j), own, vec, label, unit))
-        yield batch_of(out + (pairs(held) if len(held) > 1 else []))
+                held.append(row)
+        if (made := rows(now, held)) is not None:
+            yield made
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "id long, others long, root long")
 
 
 def near(vectors: DataFrame, threshold: float = 0.93, seed: int = 7, block: int = BLOCK) -> DataFrame:
@@ -134,26 +156,25 @@ def near(vectors: DataFrame, threshold: float = 0.93, seed: int = 7, block: int
     result rows. An empty table gives no rows; other columns are ignored.
     """
     units = common.stored(_units(vectors))
-    able = units.where("unit is not null")
-    reps = able.groupBy("hi", "lo").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("copies"), F.first("label").alias("label"), F.first("unit").alias("unit"))
+    able = units.where("raw is not null")
+    reps = able.groupBy("hi", "lo").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("copies"), *[F.first(c).alias(c) for c in ("label", "dims", "raw")])
     reps = common.stored(reps)
     k, tables = plan(reps.count(), threshold)
-    hashed = common.stored(_buckets(reps, k, tables, seed))
-    counts = hashed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    hashed = common.stored(_hashed(reps.select("id", "copies", "label", "dims", "raw"), k, tables, seed))
+    members = hashed.select("id", F.posexplode("buckets").alias("t", "bucket"))
+    counts = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     n = F.ceil(F.col("n") / block).cast("int")
-    shared = hashed.join(counts, "bucket").withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64("id"), n).cast("int"))
+    shared = members.join(counts, "bucket").withColumn("blocks", n).withColumn("own", F.pmod(F.xxhash64("id"), n).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    blocks = shared.select("bucket", "id", "own", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    links = common.stored(_checked(blocks.join(reps.select("id", "label", "unit"), "id"), threshold))
-    sizes = reps.select("id", "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(sizes, F.col("b") == F.col("id")).groupBy("a").agg(F.sum("copies").alias("others"))
-    whole = common.components(links)
+    blocks = shared.select("bucket", "t", "id", "own", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    links = common.stored(_linked(blocks.join(hashed, "id"), threshold))
+    degree = links.groupBy(F.col("id").alias("a")).agg(F.sum("others").alias("others"))
+    whole = common.components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
     named = reps.select("hi", "lo", "id", "copies").join(degree, F.col("a") == F.col("id"), "left").join(whole, "id", "left")
     named = named.select("hi", "lo", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     salts = 16  # a class of equal vectors may hold any share of the rows
     spread = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = able.select("vec_id", "hi", "lo", F.pmod(F.xxhash64("vec_id"), F.lit(salts)).cast("int").alias("salt"))
     linked = keyed.join(spread, ["hi", "lo", "salt"]).select("vec_id", "n_links", "component_id")
-    single = units.where("unit is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    single = units.where("raw is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(single).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -78,6 +78,15 @@ def test_mix_repeats_rows_as_often_as_it_takes_them(spark):
     assert got == Counter({k: n for k, n in wanted.items() if n})
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    table = [(i, f"w{i} " * (i % 7 + 1), "ab"[i % 2], i, "s", "r", 5) for i in range(60)] + [(None, f"n{i}", "a", 99, "s", "r", 5) for i in range(9)]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string, _size int, _copies string, row string, copies int")
+    out = mixing.mix(df)
+    assert out.columns == df.columns
+    assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in df.collect()}
+    assert any(r.doc_id is None for r in out.collect())
+
+
 def test_mixing_of_nothing(spark):
     empty = frame(spark, []).where("false")
     assert mixing.copies(empty).collect() == [] == mixing.mix(empty).collect()
@@ -304,6 +313,16 @@ def plain_verdict(url):
     return host, path, *(max(fits)[1:] if fits else (None, "allow"))
 
 
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_long_hosts_and_paths_of_many_lengths(spark, most):
+    """A host of many labels costs what a short one does, and rules of 1,200 path lengths are all known."""
+    rules = [("a.b.net", "/" + "x" * n, "block" if n % 2 else "allow") for n in range(1200)] + [("a.com", "", "block"), ("a.co", "m", "allow")]
+    table = [(1, "http://" + "q." * 20_000 + "a.b.net/" + "x" * 700), (2, "http://a.com"), (3, "http://a.b.net/" + "x" * 5000), (4, "http://b.net/x")]
+    df = spark.createDataFrame(table, "page_id long, url string")
+    got = {r.page_id: (r.rule and len(r.rule), r.verdict) for r in urls.judge(df, spark.createDataFrame(rules, "host string, path string, verdict string"), most_rules=most).collect()}
+    assert got == {1: (8 + 700, "allow"), 2: (5, "block"), 3: (8 + 1199, "block"), 4: (None, "allow")}
+
+
 @pytest.mark.parametrize("most", [2_000_000, 0])
 def test_url_rules(spark, most):
     rules = spark.createDataFrame([*queries.URL_RULES, queries.URL_RULES[0], ("x.y", None, "block")], "host string, path string, verdict string")
