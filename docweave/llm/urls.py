@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 #: More rules than this go through a join; so many fit the driver and every worker.
 MOST_RULES = 2_000_000
+#: Different lengths of rule paths that each URL is probed with.
+MOST_LENGTHS = 1000
 
 
 def host(url: Column) -> Column:
@@ -36,10 +38,10 @@ class DigestArray:
     def write(rules: dict[str, str], stem: str) -> list[str]:
         keys = sorted((xxhash.xxh3_64_intdigest(k), k.encode(), v) for k, v in rules.items())
         texts = [v[:1].encode() + k for _, k, v in keys]
-        np.array([k for k, _, _ in keys], dtype="<u8").tofile(f"{stem}.keys")
         np.cumsum([0, *map(len, texts)]).astype("<i8").tofile(f"{stem}.at")
         with open(f"{stem}.text", "wb") as f:
             f.write(b"".join(texts))
+        np.array([k for k, _, _ in keys], dtype="<u8").tofile(f"{stem}.keys")  # last: where it is, all are
         return [f"{stem}.keys", f"{stem}.at", f"{stem}.text"]
 
     def __init__(self, stem: str) -> None:
@@ -63,13 +65,11 @@ class DigestArray:
         return out
 
 
-def _suffixes(name: str) -> list[str]:
-    """The host and every domain above it."""
-    out = [name]
-    while "." in name:
-        name = name[name.index(".") + 1 :]
-        out.append(name)
-    return out
+def _suffixes(name: str, labels: int) -> list[str]:
+    """The host and every domain above it, of those that have at most so many labels."""
+    parts = name.rsplit(".", labels)
+    parts = parts[1:] if len(parts) > labels else parts
+    return [".".join(parts[k:]) for k in range(len(parts))]
 
 
 def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", most_rules: int = MOST_RULES) -> DataFrame:
@@ -79,39 +79,43 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", most_rules:
     URL's path starts with the rule's path; of several the longest host + path wins, and of equally long ones the
     one with the longer host. Without a rule, rule is null and verdict is `default`. A null URL or one without ://
     has an empty host and path and no rule. A rule that stands twice with both verdicts blocks; rules with a null
-    are ignored. Columns of urls named as an added one are replaced. Rules up to most_rules are a digest array
-    that each worker maps into memory; more of them are joined on the candidates instead, with the same result.
+    are ignored, and so are those whose path is neither empty nor starts with /. Columns of urls named as an added one
+    are replaced. Rules up to most_rules, with paths of at most MOST_LENGTHS different lengths, are a digest array in the
+    shared folder that each worker maps into memory; others are joined on the candidates instead, with the same result.
+    Of a host only the domains with as many labels as some rule has are looked up, however long it is.
     """
     spark = urls.sparkSession
     base = urls.drop("host", "path", "rule", "verdict").withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
     clean = rules.where("host is not null and path is not null and verdict in ('allow', 'block') and host <> ''")
+    clean = clean.where("path = '' or startswith(path, '/')")  # a URL's path can't start otherwise, and host and path stay apart when joined
     clean = clean.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    lengths = sorted(r[0] for r in clean.select(F.length("path").alias("n")).distinct().limit(10_001).collect())
-    if len(lengths) > 10_000:
-        raise ValueError("more than 10,000 different lengths of rule paths")
-    if clean.limit(most_rules + 1).count() > most_rules:
-        return _joined(base, clean, default)
-    stem = tempfile.mkdtemp(prefix="rules-") + "/r"
+    labels = clean.agg(F.coalesce(F.max(F.size(F.split("host", r"\."))), F.lit(1))).first()[0]
+    lengths = sorted(r[0] for r in clean.select(F.length("path").alias("n")).distinct().limit(MOST_LENGTHS + 1).collect())
+    if len(lengths) > MOST_LENGTHS or clean.limit(most_rules + 1).count() > most_rules:
+        return _joined(base, clean, default, labels)
     listed = {f"{r.host}{r.path}": r.verdict for r in clean.collect()}
-    stem = f"{stem}-{os.path.basename(os.path.dirname(stem))}"
-    for file in DigestArray.write(listed, stem):
-        spark.sparkContext.addFile(file)
-    name = os.path.basename(stem)
+    # The files are named by what they hold, so that the same rules are written once an application.
+    name = xxhash.xxh3_128_hexdigest(repr(sorted(listed.items())).encode())
+    folder = f"{common.shared_dir(spark).removeprefix('file:')}/{spark.sparkContext.applicationId}"
+    os.makedirs(folder, exist_ok=True)
+    stem = f"{folder}/rules-{name}"
+    if not os.path.exists(f"{stem}.keys"):
+        DigestArray.write(listed, stem)
     names, kept = base.columns, base.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        array = DigestArray(SparkFiles.get(f"{name}.keys").removesuffix(".keys"))
+        array = DigestArray(stem)
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             owner, candidates = [], []
             for i, (h, p) in enumerate(zip(hosts, paths, strict=True)):
                 starts = [p[:n] for n in lengths if n <= len(p)]
-                for s in _suffixes(h) if h else []:
+                for s in _suffixes(h, labels) if h else []:
                     candidates += [s + x for x in starts]
                     owner += [(i, len(s), len(s) + len(x)) for x in starts]
             best: list[tuple[int, int, str, str] | None] = [None] * batch.num_rows
             for (i, n, whole), rule, verdict in zip(owner, candidates, array.probe(candidates), strict=True):
-                if verdict and rule[n : n + 1] in ("/", "") and (best[i] is None or (whole, n) > best[i][:2]):
+                if verdict and (best[i] is None or (whole, n) > best[i][:2]):
                     best[i] = (whole, n, rule, {"a": "allow", "b": "block"}[verdict])
             columns = [*batch.columns, pa.array([b and b[2] for b in best], pa.string()), pa.array([b[3] if b else default for b in best], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "rule", "verdict"])
@@ -120,11 +124,12 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", most_rules:
     return base.mapInArrow(run, f"{schema}, rule string, verdict string")
 
 
-def _joined(base: DataFrame, clean: DataFrame, default: str) -> DataFrame:
+def _joined(base: DataFrame, clean: DataFrame, default: str, labels: int) -> DataFrame:
     """The same by a join on the hosts above each distinct host and path, for rules of any number."""
     names = base.where("host <> ''").select("host", "path").distinct()
     parts = F.split("host", r"\.")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    first = F.greatest(F.lit(1), F.size(parts) - labels + 1)
+    above = F.transform(F.sequence(first, F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
     probes = names.select("host", "path", F.explode(above).alias("above"))
     known = clean.select(F.col("host").alias("above"), F.col("path").alias("start"), "verdict")
     fits = probes.join(known, "above").where("startswith(path, start)")
