@@ -73,11 +73,17 @@ def copies(docs: DataFrame, seed: int = 1) -> DataFrame:
     order of size class, then of a hash of the id, so each size class is taken in proportion and the words taken
     come near the target. No document is taken more than MOST times.
 
-    A null doc_id counts as the text '' in the hash. Repeated rows are separate documents. A source whose texts
+    A null doc_id is replaced by a hash of the text there. Repeated rows are separate documents. A source whose texts
     have no words has target 0 and none of it is taken; an empty table gives no rows. Other columns are ignored.
     """
-    sized = docs.select("doc_id", "source", common.word_count(F.col("text")).alias("size"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return _copies(docs, seed).drop("tag")
+
+
+def _copies(docs: DataFrame, seed: int) -> DataFrame:
+    """copies(), and tag: a hash of the text of rows without an id, which tells these apart."""
+    tag = F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit(""))))
+    sized = docs.select("doc_id", "source", common.word_count(F.col("text")).alias("size"), tag.alias("tag"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("n"), "tag"))
     sized = common.stored(sized.withColumn("cell", _size_class(F.col("size")) * CELLS + _digest(key, 8) % CELLS))
     goal = targets(sized)
     goal = goal.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
@@ -90,28 +96,27 @@ def copies(docs: DataFrame, seed: int = 1) -> DataFrame:
     same = cells["source"].eqNullSafe(goal["source"])
     cells = cells.join(goal, same).select(goal["source"], "cell", (F.col("ahead") - F.col("start")).alias("ahead"), "source_size", "target", "rate", "offset")
     rows = sized.alias("d").join(cells.alias("c"), (F.col("d.cell") == F.col("c.cell")) & F.col("d.source").eqNullSafe(F.col("c.source")))
-    rows = rows.select("d.doc_id", "d.source", "d.size", "d.cell", "source_size", "target", "rate", "offset", "ahead")
-    own = Window.partitionBy("source", "cell").orderBy("doc_id", "size")
+    rows = rows.select("d.doc_id", "d.source", "d.size", "d.tag", "d.cell", "source_size", "target", "rate", "offset", "ahead")
+    own = Window.partitionBy("source", "cell").orderBy("doc_id", "tag", "size")
     rank = F.col("ahead") + F.row_number().over(own)
     crossed = F.floor(rank * F.col("rate") + F.col("offset")) - F.floor((rank - 1) * F.col("rate") + F.col("offset"))
-    return rows.select("doc_id", "size", "source", "source_size", "target", crossed.cast("long").alias("copies"))
+    return rows.select("doc_id", "size", "source", "tag", "source_size", "target", crossed.cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """The mixed documents: every row as often as copies() says, with all columns of docs.
+    """The mixed documents: every row as often as copies() says, with all columns of docs, whatever their names.
 
-    Rows with equal ids and sources are told apart by their size only; where a row is repeated whole, its copies add up.
+    Rows with equal ids and sources are told apart by their size only, rows without an id by their text; where a row is
+    repeated whole, its copies add up.
     """
     # Repeats of an id within a source share the mean: the k-th of n repeats takes its part of the sum.
-    taken = copies(docs, seed).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    size = common.word_count(F.col("text"))
-    left, right = docs.withColumn("_size", size).alias("l"), taken.alias("r")
-    on = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l._size") == F.col("r.size"))
-    joined = left.join(right, on).where("_copies > 0")
-    single, repeated = joined.where("_rows = 1"), joined.where("_rows > 1")
-    turn = Window.partitionBy("r.doc_id", "r.source", "r.size").orderBy(F.xxhash64("l.text"))
-    rest = F.pmod(F.col("_copies"), F.col("_rows"))
-    repeated = repeated.withColumn("_copies", F.floor(F.col("_copies") / F.col("_rows")) + (F.row_number().over(turn) <= rest).cast("long"))
-    names = [F.col(f"l.`{c}`") for c in docs.columns]
-    times = lambda df: df.select(*names, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
-    return times(single).unionByName(times(repeated.where("_copies > 0")))
+    taken = _copies(docs, seed).groupBy("doc_id", "source", "size", "tag").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).alias("r")
+    packed = docs.select(F.struct("*").alias("row"), common.word_count(F.col("text")).alias("words"), F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")))).alias("own"))
+    on = F.col("row.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("row.source").eqNullSafe(F.col("r.source")) & (F.col("words") == F.col("r.size")) & F.col("own").eqNullSafe(F.col("r.tag"))
+    joined = packed.join(taken, on).where("copies > 0").select("row", "words", "own", "copies", "rows")
+    single, repeated = joined.where("rows = 1"), joined.where("rows > 1")
+    turn = Window.partitionBy("row.doc_id", "row.source", "words", "own").orderBy(F.xxhash64("row.text"))
+    rest = F.pmod(F.col("copies"), F.col("rows"))
+    repeated = repeated.withColumn("copies", F.floor(F.col("copies") / F.col("rows")) + (F.row_number().over(turn) <= rest).cast("long"))
+    times = lambda df: df.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
+    return times(single).unionByName(times(repeated.where("copies > 0")))

@@ -83,10 +83,10 @@ def oracle_sql() -> dict[str, str]:
 
 OP1 = r"""
 WITH sized AS (
-  SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents
+  SELECT doc_id, source, CASE WHEN doc_id IS NULL THEN md5(coalesce(text, '')) END AS tag, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents
 ), cells AS (
   SELECT *, (length(size::VARCHAR) * 100 + substr(size::VARCHAR, 1, 2)::BIGINT) * 4096
-    + ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % 4096 AS cell FROM sized
+    + ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'n' || tag)), 1, 8))::BIGINT % 4096 AS cell FROM sized
 ), named AS (
   SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight FROM sized GROUP BY source
 ), ordered AS (
@@ -101,7 +101,7 @@ WITH sized AS (
     ('0x' || substr(md5('1:' || coalesce('s' || source, 'n')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
   FROM levels
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY cell, doc_id, size) AS r FROM cells
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY cell, doc_id NULLS FIRST, tag NULLS FIRST, size) AS r FROM cells
 ), rated AS (
   SELECT r.*, g.source_size, g.target, g.start, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate
   FROM ranked r JOIN goal g ON r.source IS NOT DISTINCT FROM g.source
