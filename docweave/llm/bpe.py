@@ -15,8 +15,8 @@ from .tokens import Encoder, blocks, cuts_at_spaces
 
 #: The split pattern of byte-level BPE vocabularies without a pattern of their own (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Distinct pieces and words whose encodings a worker remembers before it starts afresh.
-REMEMBER = 1 << 17
+#: Distinct pieces, and characters of them, whose encodings a worker remembers before it starts afresh.
+REMEMBER, CHARACTERS = 1 << 17, 1 << 22
 
 
 def _byte_letters() -> dict[str, int]:
@@ -51,7 +51,9 @@ class Trie:
             a, b = (vocab[x] for x in (pair if isinstance(pair, list) else pair.split(" ")))
             both = self.ids[self.bytes[a] + self.bytes[b]]
             self.rank[a, b] = n
-            self.made.setdefault(both, (a, b))
+            if both in self.made:
+                raise ValueError(f"two merges make the token {both}")
+            self.made[both] = a, b
         # Only tokens that merging their own bytes makes can stand in an encoding.
         self.left = {i: self._spine(i, 0) for i in self.ids.values()}
         self.right = {i: self._spine(i, 1) for i in self.ids.values()}
@@ -124,6 +126,7 @@ class Codec:
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.trie.special, key=len, reverse=True)))) if self.trie.special else None
         self.memo: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.held = 0
         self.token_bytes = [self.trie.bytes.get(i, b"") for i in range(max(self.trie.bytes) + 1)]
 
     pieces = Encoder.pieces
@@ -139,10 +142,12 @@ class Codec:
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the pieces not yet known: their distinct words go through the trie together."""
-        if len(self.memo) > REMEMBER:
+        if len(self.memo) > REMEMBER or self.held > CHARACTERS:
             self.memo.clear()
             self.words.clear()
+            self.held = 0
         cut = {p: self._units(p) for p in pieces if p not in self.memo}
+        self.held += sum(map(len, cut))
         for s, i in self.trie.special.items():
             self.words[s] = np.uint32(i).tobytes()
         new = sorted((w.encode(), w) for w in {w for units in cut.values() for w in units} if w not in self.words)
@@ -167,7 +172,7 @@ class Codec:
 
     def forget(self) -> None:
         """Drop what is remembered: a reused worker goes on with other work."""
-        self.memo, self.words = {}, {}
+        self.memo, self.words, self.held = {}, {}, 0
         self.trie.fits.clear()
 
     def decode(self, ids: bytes) -> str:

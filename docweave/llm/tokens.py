@@ -15,8 +15,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Characters of a chunk, and of the overlap on each side of a cut.
 CHUNK, OVERLAP = 1 << 16, 1 << 10
-#: Distinct pieces that a worker remembers before it starts afresh.
-REMEMBER = 1 << 18
+#: Distinct pieces, and characters of them, that a worker remembers before it starts afresh.
+REMEMBER, CHARACTERS = 1 << 18, 1 << 23
 #: White space by any library's reading.
 _BLANK = frozenset(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 #: White space before a space: then the space is no stable place.
@@ -44,6 +44,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.memo: dict[str, int] = {}
+        self.held = 0
         self.stable = False
         if path.endswith(".model"):
             import sentencepiece
@@ -80,9 +81,11 @@ class Encoder:
         Pieces that begin with a space and end in no white space are strung together, many to a call: the places
         where they meet are stable.
         """
-        if len(self.memo) > REMEMBER:
+        if len(self.memo) > REMEMBER or self.held > CHARACTERS:
             self.memo.clear()
+            self.held = 0
         new = [p for p in pieces if p not in self.memo]
+        self.held += sum(map(len, new))
         joined = [p for p in new if p[:1] == " " and p[-1] not in _BLANK]
         apart = [p for p in new if p[:1] != " " or p[-1] in _BLANK]
         for i in range(0, len(joined), 4096):
