@@ -62,11 +62,13 @@ def _units(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", "label", "embedding").mapInArrow(run, "vec_id long, label string, dims int, raw binary, hi long, lo long")
 
 
-def unit(raw: bytes, dims: int) -> np.ndarray:
-    """The vector at length 1, in double precision."""
-    x = np.frombuffer(raw, dtype=np.float32 if len(raw) == 4 * dims else np.float64).astype(np.float64)
-    x = x / np.abs(x).max()
-    return x / np.sqrt(x @ x)
+def units(raws: list[bytes], dims: list[int]) -> np.ndarray | list[np.ndarray]:
+    """The vectors at length 1, in double precision: a matrix where all have one length, else a list."""
+    if len({(len(r), d) for r, d in zip(raws, dims, strict=True)}) > 1:
+        return [units([r], [d])[0] for r, d in zip(raws, dims, strict=True)]
+    x = np.frombuffer(b"".join(raws), dtype=np.float32 if raws and len(raws[0]) == 4 * dims[0] else np.float64).astype(np.float64).reshape(len(raws), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]
 
 
 def _hashed(reps: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
@@ -82,7 +84,7 @@ def _hashed(reps: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
                     r = np.random.default_rng([seed, dims])
                     drawn[dims] = r.standard_normal((k * tables, dims)), r.uniform(0, WIDTH, k * tables)
                 a, b = drawn[dims]
-                codes = np.floor((a @ unit(raw, dims) + b) / WIDTH).astype(np.int32).reshape(tables, k)
+                codes = np.floor((a @ units([raw], [dims])[0] + b) / WIDTH).astype(np.int32).reshape(tables, k)
                 head = f"{label}|{dims}|".encode()
                 out.append(np.array([xxhash.xxh3_64_intdigest(head + t.to_bytes(4) + codes[t].tobytes()) for t in range(tables)], dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=names)
@@ -90,12 +92,11 @@ def _hashed(reps: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
     return reps.mapInArrow(run, f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in reps.schema.fields)}, buckets array<long>")
 
 
-def block_links(i: int, j: int, table: int, own: np.ndarray, kinds: list[tuple[str, int]], x: list[np.ndarray], buckets: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def block_links(i: int, j: int, table: int, own: np.ndarray, kinds: np.ndarray, x: np.ndarray | list[np.ndarray], buckets: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """The links between the vectors of blocks i and j of a bucket, as places of both ends, of which no earlier table's buckets know."""
-    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    for kind in set(kinds):  # a digest may put unlike vectors in one bucket
-        a, b = (np.array([p for p in side.tolist() if kinds[p] == kind], dtype=np.int64) for side in (left, right))
+    for kind in np.unique(kinds):  # a digest may put unlike vectors in one bucket
+        a, b = (np.flatnonzero((own == side) & (kinds == kind)) for side in (i, j))
         if len(a) and len(b):
             p, q = np.nonzero(np.stack([x[k] for k in a]) @ np.stack([x[k] for k in b]).T >= threshold)
             p, q = a[p], b[q]
@@ -115,34 +116,49 @@ def _linked(blocks: DataFrame, threshold: float) -> DataFrame:
     keys = ["bucket", "i", "j"]
     dealt = blocks.select(*keys, "t", "own", "id", "copies", "label", "dims", "raw", "buckets").repartition(common.tasks(blocks.sparkSession), *keys).sortWithinPartitions(*keys)
 
-    def rows(now: tuple[int, int, int], held: list[tuple]) -> pa.RecordBatch | None:
-        if len(held) < 2:
-            return None
-        table, own, ids, copies, label, dims, raw, buckets = zip(*held, strict=True)
-        ids, copies = np.array(ids), np.array(copies)
-        p, q = block_links(now[1], now[2], table[0], np.array(own), list(zip(label, dims, strict=True)), [unit(r, d) for r, d in zip(raw, dims, strict=True)], np.array(buckets), threshold)
-        if not len(p):
-            return None
-        others = np.bincount(p, copies[q], len(ids)) + np.bincount(q, copies[p], len(ids))
-        nodes, roots = common.forest(ids[p], ids[q])
-        total = dict(zip(ids.tolist(), others.tolist(), strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([int(total[n]) for n in nodes.tolist()], pa.int64()), pa.array(roots)], names=["id", "others", "root"])
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows of whole groups."""
+        bucket, i, j, t, own, ids, copies = (batch.column(k).to_numpy() for k in range(7))
+        dims, raws = batch.column(8), batch.column(9).to_pylist()
+        kinds = np.unique(batch.column(7).dictionary_encode().indices.to_numpy().astype(np.int64) << 32 | dims.to_numpy(), return_inverse=True)[1]
+        x, buckets = units(raws, dims.to_pylist()), batch.column(10).flatten().to_numpy().reshape(batch.num_rows, -1)
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        cuts = _cuts(bucket, i, j)
+        for a, b in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+            if b - a < 2:
+                continue
+            p, q = block_links(i[a], j[a], t[a], own[a:b], kinds[a:b], x[a:b], buckets[a:b], threshold)
+            if len(p):
+                n, size, weight = ids[a:b], b - a, copies[a:b]
+                others = np.bincount(p, weight[q], size) + np.bincount(q, weight[p], size)
+                nodes, roots = common.forest(n[p], n[q])
+                met = np.flatnonzero(others)
+                out.append((nodes, others[met[np.argsort(n[met])]].astype(np.int64), roots))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if out else [], pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 3)], names=["id", "others", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        rest: list[pa.RecordBatch] = []  # of a group that may go on
         for batch in batches:
-            for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (bucket, i, j) != now:
-                    if (made := rows(now, held)) is not None:
-                        yield made
-                    now, held = (bucket, i, j), []
-                held.append(row)
-        if (made := rows(now, held)) is not None:
-            yield made
+            last = _cuts(*(batch.column(k).to_numpy() for k in range(3)))[-1] if batch.num_rows else 0
+            same = bool(rest) and last == 0 and all(rest[-1].column(k)[0] == batch.column(k)[0] for k in range(3))
+            if same or not batch.num_rows:
+                rest.append(batch)
+                continue
+            yield rows(pa.concat_batches([*rest, batch.slice(0, last)]))
+            rest = [batch.slice(last)]
+        if rest:
+            yield rows(pa.concat_batches(rest))
 
     return dealt.mapInArrow(run, "id long, others long, root long")
 
 
+def _cuts(*keys: np.ndarray) -> list[int]:
+    """Where each run of equal keys begins."""
+    first = np.ones(len(keys[0]), dtype=bool)
+    first[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(first).tolist()
+
+
 def near(vectors: DataFrame, threshold: float = 0.93, seed: int = 7, block: int = BLOCK) -> DataFrame:
     """One row a vector: vec_id, n_links, component_id, kept.
 
