@@ -15,9 +15,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common, words
 from .frequent import bits_of, frequent, is_frequent
@@ -61,34 +61,38 @@ def _anchors(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _key(s: words.Words, a: int, b: int) -> tuple[int, int]:
-    hi, lo = np.frombuffer(xxhash.xxh3_128_digest(s.hashes[a:b].tobytes()), dtype=np.int64).tolist()
-    return hi, lo
+    """Two signed 64-bit parts of a digest of the words themselves."""
+    return _halves(hashlib.sha256(_joined(s, a, b)).digest())
+
+
+def _halves(digest: bytes) -> tuple[int, int]:
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:16], "little", signed=True)
 
 
 def _survey(docs: DataFrame, often: bytes) -> DataFrame:
-    """A row a document (anchor null): doc_id, n_words, sha, hi, lo; and a row a run: anchor, hot, lo, first, size, own."""
+    """A row a document (anchor null): hi, lo, doc_id, n_words, sha; and a row a run: anchor, hot, hi, lo, first, size, own."""
     shared = docs.sparkSession.sparkContext.broadcast(often)  # of fixed size
-    names = ["anchor", "hot", "lo", "first", "size", "own", "doc_id", "n_words", "hi", "sha"]
+    names = ["anchor", "hot", "hi", "lo", "first", "size", "own", "doc_id", "n_words", "sha"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, done = bits_of(shared.value), set()
         for batch in batches:
             for s in words.slices(batch.column(1), lower=False):
                 bounds = s.bounds.tolist()
-                keys = [_key(s, a, b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                shas = [hashlib.sha256(_joined(s, a, b)).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                digests = [hashlib.sha256(_joined(s, a, b)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                keys = [_halves(d.digest()) for d in digests]
                 n = len(keys)
                 void = lambda t, n=n: pa.nulls(n, t)
-                lo = np.array([k[1] for k in keys], dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([void(pa.int64()), void(pa.bool_()), pa.array(lo), void(pa.int32()), void(pa.int32()), void(pa.bool_()), batch.column(0).slice(s.first, n), pa.array(np.diff(s.bounds).astype(np.int64)), pa.array([k[0] for k in keys], pa.int64()), pa.array(shas)], names=names)
+                hi, lo = (np.array([k[side] for k in keys], dtype=np.int64) for side in (0, 1))
+                yield pa.RecordBatch.from_arrays([void(pa.int64()), void(pa.bool_()), pa.array(hi), pa.array(lo), void(pa.int32()), void(pa.int32()), void(pa.bool_()), batch.column(0).slice(s.first, n), pa.array(np.diff(s.bounds).astype(np.int64)), pa.array([d.hexdigest() for d in digests], pa.string())], names=names)
                 anchor, owner, first, size, own = _runs(s)
-                fresh = np.array([k not in done and not done.add(k) for k in lo.tolist()], dtype=bool)
+                fresh = np.array([k not in done and not done.add(k) for k in keys], dtype=bool)
                 keep = fresh[owner]
                 anchor, owner, first, size, own = (x[keep] for x in (anchor, owner, first, size, own))
                 void = lambda t, n=len(anchor): pa.nulls(n, t)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(is_frequent(bits, anchor)), pa.array(lo[owner]), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(own), void(pa.int64()), void(pa.int64()), void(pa.int64()), void(pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(is_frequent(bits, anchor)), pa.array(hi[owner]), pa.array(lo[owner]), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(own), void(pa.int64()), void(pa.int64()), void(pa.string())], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, hot boolean, lo long, first int, size int, own boolean, doc_id long, n_words long, hi long, sha string")
+    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, hot boolean, hi long, lo long, first int, size int, own boolean, doc_id long, n_words long, sha string")
 
 
 def _joined(s: words.Words, a: int, b: int, keep: np.ndarray | None = None) -> bytes:
@@ -100,24 +104,24 @@ def _joined(s: words.Words, a: int, b: int, keep: np.ndarray | None = None) -> b
 
 
 def _spans(held: DataFrame) -> DataFrame:
-    """Rows (anchor, large, id, lo, first, size, span) from rows (id, lo, text, runs): the words that the windows of each run cover."""
+    """Rows (anchor, large, id, hi, lo, first, size, span) from rows (id, hi, lo, text, runs): the words that the windows of each run cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, los, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
-            for s in words.slices(batch.column(2), lower=False):
+            ids, his, los, lists = (batch.column(k).to_pylist() for k in (0, 1, 2, 4))
+            for s in words.slices(batch.column(3), lower=False):
                 out: list[tuple] = []
                 for k, (a, b) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True), s.first):
-                    if b <= a or _key(s, a, b)[1] != los[k]:
+                    if b <= a or _key(s, a, b) != (his[k], los[k]):
                         continue
                     whole = s.data[s.starts[a] : s.ends[b - 1]].tobytes().split()
                     for r in lists[k]:
-                        out.append((r["anchor"], r["large"], ids[k], los[k], r["first"], r["size"], b" ".join(whole[r["first"] : r["first"] + r["size"] + WINDOW - 1])))
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                columns = zip(*out, strict=True) if out else [()] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "large", "id", "lo", "first", "size", "span"])
+                        out.append((r["anchor"], r["large"], ids[k], his[k], los[k], r["first"], r["size"], b" ".join(whole[r["first"] : r["first"] + r["size"] + WINDOW - 1])))
+                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                columns = zip(*out, strict=True) if out else [()] * 8
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "large", "id", "hi", "lo", "first", "size", "span"])
 
-    return held.select("id", "lo", "text", "runs").mapInArrow(run, "anchor long, large boolean, id long, lo long, first int, size int, span binary")
+    return held.select("id", "hi", "lo", "text", "runs").mapInArrow(run, "anchor long, large boolean, id long, hi long, lo long, first int, size int, span binary")
 
 
 def _windows(span: bytes, size: int) -> list[bytes]:
@@ -128,34 +132,34 @@ def _windows(span: bytes, size: int) -> list[bytes]:
     return [span[starts[i] : ends[i + WINDOW - 1]] for i in range(size)]
 
 
-def subtree_repeats(suffixes: list[tuple[bytes, int, int, int]]) -> list[tuple[int, int, int]]:
-    """Of the suffixes (words cut at depth WINDOW, document, its text's hash, place) of one prefix, the places below a node of that depth that are not its first."""
+def subtree_repeats(suffixes: list[tuple[bytes, int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Of the suffixes (words cut at depth WINDOW, document, its text's digest in two, place) of one prefix, the places below a node of that depth that are not its first."""
     suffixes = sorted(set(suffixes))
     return [x[1:] for before, x in zip(suffixes, suffixes[1:], strict=False) if before[0] == x[0]]
 
 
 def _small_groups(spans: DataFrame) -> DataFrame:
-    """Removed windows (id, lo, at) of anchors whose runs fit a task."""
-    dealt = spans.select("anchor", "id", "lo", "first", "size", "span").repartition(common.tasks(spans.sparkSession), "anchor").sortWithinPartitions("anchor")
+    """Removed windows (id, hi, lo, at) of anchors whose runs fit a task."""
+    dealt = spans.select("anchor", "id", "hi", "lo", "first", "size", "span").repartition(common.tasks(spans.sparkSession), "anchor").sortWithinPartitions("anchor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, out = None, [], []
         for batch in batches:
-            for a, i, lo, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, i, hi, lo, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if a != now:
                     out += subtree_repeats(held)
                     now, held = a, []
-                held += [(w, i, lo, first + k) for k, w in enumerate(_windows(span, size))]
+                held += [(w, i, hi, lo, first + k) for k, w in enumerate(_windows(span, size))]
             if len(out) > 100_000:
                 yield _places(out)
                 out = []
         yield _places(out + subtree_repeats(held))
 
-    return dealt.mapInArrow(run, "id long, lo long, at int")
+    return dealt.mapInArrow(run, "id long, hi long, lo long, at int")
 
 
-def _places(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["id", "lo", "at"])
+def _places(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32()))], names=["id", "hi", "lo", "at"])
 
 
 def _large_groups(spans: DataFrame) -> DataFrame:
@@ -163,15 +167,16 @@ def _large_groups(spans: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(hashlib.sha256(w).digest()[:24], i, lo, first + k) for i, lo, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True) for k, w in enumerate(_windows(span, size))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int32())], names=["key", "id", "lo", "at"])
+            rows = [(hashlib.sha256(w).digest()[:24], i, hi, lo, first + k) for i, hi, lo, first, size, span in zip(*(c.to_pylist() for c in batch.columns), strict=True) for k, w in enumerate(_windows(span, size))]
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["key", "id", "hi", "lo", "at"])
 
-    made = common.stored(spans.select("id", "lo", "first", "size", "span").mapInArrow(run, "key binary, id long, lo long, at int"))
-    salts = 16
-    firsts = made.groupBy("key").agg(F.min(F.struct("id", "lo", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    made = common.stored(spans.select("id", "hi", "lo", "first", "size", "span").mapInArrow(run, "key binary, id long, hi long, lo long, at int"))
+    salts, place = 16, F.struct("id", "hi", "lo", "at")
+    firsts = made.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = firsts.select("key", "first", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    again = made.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).join(firsts, ["key", "salt"])
-    return again.where(F.struct("id", "lo", "at") != F.col("first")).select("id", "lo", "at")
+    again = made.withColumn("salt", F.pmod(F.xxhash64("id", "at"), F.lit(salts)).cast("int")).join(firsts, ["key", "salt"])
+    return again.where(place != F.col("first")).select("id", "hi", "lo", "at")
 
 
 def _groups(runs: DataFrame, group: int) -> DataFrame:
@@ -182,7 +187,7 @@ def _groups(runs: DataFrame, group: int) -> DataFrame:
 
 
 def _removed(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Documents (doc_id, n_words, hi, lo, sha); texts (id, lo, text) that may hold repeats; the first document (id) of each word sequence (hi, lo); cuts (id, lo, places)."""
+    """Documents (doc_id, n_words, hi, lo, sha); texts (id, hi, lo, text) that may hold repeats; the first document (id) of each word sequence (hi, lo); cuts (id, hi, lo, places)."""
     spark = docs.sparkSession
     made = _survey(docs, frequent(docs, _anchors))
     salt = F.when(F.col("anchor").isNull(), F.xxhash64("lo", "doc_id")).when(F.col("hot"), F.pmod("lo", F.lit(64))).otherwise(F.lit(0))
@@ -194,15 +199,15 @@ def _removed(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame, DataFra
     nodes = made.where("anchor is null").select("doc_id", "n_words", "hi", "lo", "sha")
     reps = nodes.where("doc_id is not null and n_words > 0").groupBy("lo", "hi").agg(F.min("doc_id").alias("id"))
     reps = common.stored(reps)
-    runs = made.where("anchor is not null").select("anchor", "lo", "first", "size").distinct().join(reps.select("lo", "id"), "lo")
+    runs = made.where("anchor is not null").select("anchor", "hi", "lo", "first", "size").distinct().join(reps, ["hi", "lo"])
     runs = common.stored(runs)
-    lists = runs.join(_groups(runs, group), "anchor").groupBy("id", "lo").agg(F.collect_list(F.struct("anchor", "large", "first", "size")).alias("runs"))
+    lists = runs.join(_groups(runs, group), "anchor").groupBy("id", "hi", "lo").agg(F.collect_list(F.struct("anchor", "large", "first", "size")).alias("runs"))
     texts = docs.select("doc_id", "text").join(lists, F.col("doc_id") == F.col("id"))
-    texts = common.stored(texts.select("id", "lo", "text", "runs"))
+    texts = common.stored(texts.select("id", "hi", "lo", "text", "runs"))
     spans = common.stored(_spans(texts))
     found = _small_groups(spans.where("not large")).unionByName(_large_groups(spans.where("large")))
-    cuts = found.groupBy("id", "lo").agg(F.collect_set("at").alias("places"))
-    return nodes, texts.select("id", "lo", "text"), reps, cuts
+    cuts = found.groupBy("id", "hi", "lo").agg(F.collect_set("at").alias("places"))
+    return nodes, texts.select("id", "hi", "lo", "text"), reps, cuts
 
 
 def _gone(places: list[int], n: int) -> np.ndarray:
@@ -229,23 +234,23 @@ def digests(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, los, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
+            ids, his, los, lists = (batch.column(k).to_pylist() for k in (0, 1, 2, 4))
             rows = []
-            for s in words.slices(batch.column(2), lower=False):
+            for s in words.slices(batch.column(3), lower=False):
                 for k, (a, b) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True), s.first):
-                    if b > a and _key(s, a, b)[1] == los[k]:
+                    if b > a and _key(s, a, b) == (his[k], los[k]):
                         gone = _gone(lists[k], b - a)
-                        rows.append((ids[k], los[k], int(gone.sum()), hashlib.sha256(_joined(s, a, b, ~gone)).hexdigest()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, kinds, strict=True)], names=["id", "lo", "cut", "cut_sha"])
+                        rows.append((ids[k], his[k], los[k], int(gone.sum()), hashlib.sha256(_joined(s, a, b, ~gone)).hexdigest()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 5, kinds, strict=True)], names=["id", "hi", "lo", "cut", "cut_sha"])
 
-    after = texts.join(cuts, ["id", "lo"]).select("id", "lo", "text", "places").mapInArrow(run, "id long, lo long, cut long, cut_sha string")
-    after = after.dropDuplicates(["id", "lo"])
+    after = texts.join(cuts, ["id", "hi", "lo"]).select("id", "hi", "lo", "text", "places").mapInArrow(run, "id long, hi long, lo long, cut long, cut_sha string")
+    after = after.dropDuplicates(["id", "hi", "lo"])
     return _results(nodes, reps, after)
 
 
 def _results(nodes: DataFrame, reps: DataFrame, after: DataFrame) -> DataFrame:
-    named = reps.join(after, ["id", "lo"], "left")
+    named = reps.join(after, ["id", "hi", "lo"], "left")
     salts = 16  # a class of equal documents may hold any share of them
     named = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = nodes.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
@@ -267,30 +272,31 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     nodes, _, reps, cuts = _removed(docs, group)
     able = nodes.where("doc_id is not null and n_words > 0").select("doc_id", "n_words", "lo", "hi").distinct()
     salts = 16
-    named = reps.join(cuts, ["id", "lo"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    named = reps.join(cuts, ["id", "hi", "lo"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = able.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).join(named, ["lo", "hi", "salt"])
     copy = (F.col("doc_id") > F.col("id")) & (F.col("n_words") >= WINDOW)
-    plan = keyed.select(F.col("doc_id").alias("_id"), F.col("lo").alias("_lo"), copy.alias("_copy"), F.when(F.col("doc_id") == F.col("id"), F.col("places")).alias("_places")).where("_copy or _places is not null")
-    names = docs.columns
-    at = names.index("text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    plan = keyed.select(F.col("doc_id").alias("of"), "hi", "lo", copy.alias("copy"), F.when(F.col("doc_id") == F.col("id"), F.col("places")).alias("places")).where("copy or places is not null")
+    packed = docs.select(F.struct("*").alias("row"))  # so that no column of docs meets one of ours
+    at, kind = docs.columns.index("text"), packed.schema["row"]
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            los: list[int | None] = [None] * batch.num_rows
-            for s in words.slices(batch.column(at), lower=False):
+            keys: list[tuple[int | None, int | None]] = [(None, None)] * batch.num_rows
+            for s in words.slices(batch.column(0).field(at), lower=False):
                 for k, (a, b) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True), s.first):
-                    los[k] = _key(s, a, b)[1] if b > a else None
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(los, pa.int64())], names=[*names, "_own"])
+                    keys[k] = _key(s, a, b) if b > a else (None, None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[side] for x in keys], pa.int64()) for side in (0, 1)]], names=["row", "own_hi", "own_lo"])
 
-    keyed = docs.mapInArrow(key, f"{schema}, _own long")
-    joined = keyed.join(plan, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_lo")), "left")
+    keyed = packed.mapInArrow(key, T.StructType([kind, T.StructField("own_hi", T.LongType()), T.StructField("own_lo", T.LongType())]))
+    joined = keyed.join(plan, (F.col("row.doc_id") == F.col("of")) & (F.col("own_hi") == F.col("hi")) & (F.col("own_lo") == F.col("lo")), "left").select("row", "of", "copy", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, copies, lists = (batch.column(c).to_pylist() for c in ("_id", "_copy", "_places"))
-            texts, keep = batch.column(at).to_pylist(), [True] * batch.num_rows
-            for s in words.slices(batch.column(at), lower=False):
+            ids, copies, lists = (batch.column(c).to_pylist() for c in ("of", "copy", "places"))
+            rows = batch.column(0)
+            fields = [rows.field(k) for k in range(rows.type.num_fields)]
+            texts, keep = fields[at].to_pylist(), [True] * batch.num_rows
+            for s in words.slices(fields[at], lower=False):
                 for k, (a, b) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True), s.first):
                     if ids[k] is None:
                         continue
@@ -298,8 +304,8 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
                     keep[k] = not gone.all()
                     edges = np.r_[s.starts[a:b], s.ends[b - 1]]
                     texts[k] = b"".join(s.data[edges[i] : edges[i + 1]].tobytes() for i in np.flatnonzero(~gone)).decode()
-            columns = [c if i != at else pa.array(texts, pa.string()) for i, c in enumerate(batch.columns[: len(names)])]
-            out = pa.RecordBatch.from_arrays(columns, names=names)
+            fields[at] = pa.array(texts, rows.type.field(at).type)
+            out = pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, fields=list(rows.type))], names=["row"])
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, T.StructType([kind])).select("row.*")

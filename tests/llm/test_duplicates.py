@@ -51,6 +51,14 @@ def test_remove_repeats_keeps_columns_and_drops_what_is_left_empty(spark):
     assert ids == {i for i, (n, cut, _) in want.items() if n == 0 or cut < n} | {None}
 
 
+def test_remove_repeats_keeps_columns_of_any_name(spark):
+    line = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(1, line, 7, "l", "r"), (2, f"a b {line}", 8, "m", "s"), (3, line, 9, "n", "t")], "doc_id long, text string, _id int, lo string, row string")
+    out = substrings.remove_repeats(df)
+    assert out.columns == df.columns
+    assert sorted(tuple(r) for r in out.collect()) == [(1, line, 7, "l", "r"), (2, "a b ", 8, "m", "s")]
+
+
 def test_groups_count_windows(spark):
     """One long run of a periodic text is large, many short ones are not."""
     runs = spark.createDataFrame([(1, 300), (2, 13), (2, 13), (3, 1), (4, 1), (4, 1), (4, 1)], "anchor long, size int")
