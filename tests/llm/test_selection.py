@@ -1,6 +1,7 @@
 """Operators 1, 2, 3, 4 and 9: mixing, quality, language and URL rules."""
 
 import random
+import unicodedata
 from collections import Counter
 
 import duckdb
@@ -139,6 +140,55 @@ def test_viterbi_finds_the_best_path_and_the_gradient_is_right():
         assert weights[0] == pytest.approx(slope, abs=1e-4)
 
 
+def plain_features_of_lines(lines):
+    """The line features by plain words and counts, in the order of linelabel.FEATURES."""
+    out = []
+    for k, line in enumerate(lines):
+        w = line.split()
+        symbols, bars, shouts = sum(c in "#*$%&|<>" for c in line), sum(c == "|" for c in line), sum(c == "!" for c in line)
+        shouted, ends = [x for x in w if x.isupper() and len(x) > 1], [x for x in w if x[-1] in "#*$%&|<>"]
+        out.append([
+            True, symbols > len(line) / 50, symbols > len(line) / 12, bars > len(w) / 4, len(shouted) > len(w) / 2, shouts > len(w) / 3, len(ends) > len(w) / 3,
+            len(w) >= 8 and len(set(w)) < len(w) / 2, line in lines[:k], len(w) < 4, line.rstrip().endswith((".", "?", "\u2026")), len(w) >= 20,
+        ])
+    return out
+
+
+def plain_labels(field, features):
+    """The labels of the best path by a table of all steps; at a tie content, as late a step to boilerplate as can be."""
+    if not features:
+        return []
+    score = [sum(w for w, on in zip(field.weights.tolist(), f, strict=True) if on) for f in features]
+    best = [{0: (0.0, [0]), 1: (score[0], [1])}]
+    for s in score[1:]:
+        row = {}
+        for to in (0, 1):
+            ways = [(best[-1][was][0] + float(field.steps[was, to]) + (s if to else 0.0), best[-1][was][1]) for was in (0, 1)]
+            pick = ways[1] if (ways[1][0] > ways[0][0] or (to == 1 and ways[1][0] == ways[0][0])) else ways[0]
+            row[to] = pick[0], [*pick[1], to]
+        best.append(row)
+    return best[-1][1][1] if best[-1][1][0] > best[-1][0][0] else best[-1][0][1]
+
+
+def test_kept_matches_a_plain_version(spark):
+    d = DATA.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    field = linelabel.fit(docs, labels)
+    assert field.weights.any()
+    sloped = linelabel.Field(field.weights, np.array([[0.0, -0.7], [0.4, 0.9]]))
+    texts = {r.doc_id: r.text for r in docs.collect()} | {10_000 + k: r[1] for k, r in enumerate(rows())}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    for model in (field, sloped):
+        turned = 0
+        for r in linelabel.judge(table, model).collect():
+            lines = [x for x in (texts[r.doc_id] or "").split("\n") if brute.words(x)]
+            junk = plain_labels(model, plain_features_of_lines(lines))
+            content = sum(len(brute.words(x)) for x, j in zip(lines, junk, strict=True) if not j)
+            assert (r.content_words, r.kept) == (content, not r.base_failed and content >= 0.5 * r.n_words), r.doc_id
+            turned += not r.base_failed and not r.kept
+        assert turned > 10
+
+
 def test_quality_rules_agree_with_the_labels(spark):
     d = DATA.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
@@ -252,12 +302,78 @@ def test_language_cases(spark):
     assert language.predict(df.where("false"), model).collect() == []
 
 
+class PlainKneserNey:
+    """Interpolated Kneser-Ney over characters, by counting in dictionaries."""
+
+    def __init__(self, texts, order=4):
+        self.order, counts = order, Counter()
+        for t in texts:
+            s = self.symbols(t)
+            counts.update(tuple(s[i : i + order]) for i in range(len(s) - order + 1))
+        self.levels = [counts]
+        while len(self.levels) < order:  # a lower order counts the characters that stand before a gram
+            self.levels.insert(0, Counter(g[1:] for g in self.levels[0]))
+        self.discounts, self.contexts = [], []
+        for level in self.levels:
+            once, twice = (sum(n == k for n in level.values()) for k in (1, 2))
+            self.discounts.append(once / (once + 2 * twice) if once and twice else 0.5)
+            held = {}
+            for g, n in level.items():
+                total, kinds = held.get(g[:-1], (0, 0))
+                held[g[:-1]] = total + n, kinds + 1
+            self.contexts.append(held)
+
+    @staticmethod
+    def symbols(text):
+        """Lower-case letters and marks; one border for each run of anything else, three before the text and one after it."""
+        out = [0, 0, 0]
+        for c in text:
+            keep = c.isalpha() or unicodedata.category(c) in ("Mn", "Mc")
+            if keep or out[-1]:
+                out.append(ord(c.lower()[0]) if keep else 0)
+        return [*out, 0]
+
+    def probability(self, gram):
+        p = 2.0**-language.BITS
+        for k in range(1, self.order + 1):
+            own = tuple(gram[-k:])
+            total, kinds = self.contexts[k - 1].get(own[:-1], (0, 0))
+            if total:
+                n, d = self.levels[k - 1].get(own, 0), self.discounts[k - 1]
+                p = max(n - d, 0) / total + d * kinds / total * p
+        return p
+
+    def entropy(self, text):
+        s = self.symbols(text)
+        return -np.mean([np.log(self.probability(s[i : i + self.order])) for i in range(len(s) - self.order + 1)])
+
+
+def test_predictions_match_a_plain_model(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang", "text")
+    held = docs.collect()
+    learnt, asked = [r for r in held if r.doc_id % 4], [r.text[:600] for r in held if not r.doc_id % 4][:25] + ["\u0436\u0448 a", "x", "Ab, cd"]
+    model = language.learn(docs.where("doc_id % 4 <> 0"))
+    plain = {x: PlainKneserNey([r.text for r in learnt if r.lang == x]) for x in model.languages}
+    want = np.array([[plain[x].entropy(t) for x in model.languages] for t in asked])
+    assert np.allclose(model.entropies(asked), want, atol=2e-3)
+    table = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string").repartition(2)
+    for r in language.predict(table, model).collect():
+        h = want[r.doc_id]
+        assert r.lang_pred == model.languages[int(h.argmin())] or np.sort(h)[1] - h.min() < 4e-3
+        assert r.score == pytest.approx(1 / np.exp(-model.sharpness * (h - h.min())).sum(), abs=0.05)
+
+
 def test_kneser_ney_is_a_distribution(spark):
+    """Over the characters met after a context, and the share that is left for all others."""
     docs = spark.createDataFrame([(1, "en", "the theory then there"), (2, "de", "der die das dort dann")], "doc_id long, lang string, text string")
     model = language.learn(docs)
-    for context in (0, 1, 1 << 5 | 2, 20 << 10 | 8 << 5 | 5):
-        keys = np.array([context << language.BITS | c for c in range(1 << language.BITS)], dtype=np.int64)
-        assert np.allclose(np.exp(model._log(keys, language.ORDER).astype(float)).sum(axis=0), 1, atol=1e-3)
+    code = lambda s: [0 if c == " " else ord(c) for c in s]
+    for context in ("   ", " th", "the", "xyz", " da"):
+        first, a, b = code(context)
+        keys = np.array([a << 2 * language.BITS | b << language.BITS | c for c in (0, *range(97, 123))], dtype=np.int64)
+        own = np.exp(model._log(keys, language.ORDER, np.full(len(keys), first)).astype(float)).sum(axis=0)
+        other = np.exp(model._log(np.array([keys[0] | 0x4E00]), language.ORDER, np.array([first])).astype(float))[0]
+        assert np.allclose(own + other * ((1 << language.BITS) - len(keys)), 1, atol=1e-3)
 
 
 def test_languages_of_one_script_are_told_apart(spark):
