@@ -1,4 +1,4 @@
-"""A map of values that many documents hold, of fixed size, estimated from a bounded sample."""
+"""A map of how many documents hold a value, of fixed size, estimated from a bounded sample."""
 
 from __future__ import annotations
 
@@ -7,17 +7,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import sampled
 
-#: Bits of the map: the size of what is broadcast, whatever the input.
-BITS = 1 << 23
+#: Cells of the map, a byte each: the size of what is broadcast, whatever the input.
+CELLS = 1 << 23
 #: Documents of the sample, chosen by a hash of the id.
 SAMPLE = 20_000
 
 
 def frequent(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]], sample: int = SAMPLE) -> bytes:
-    """The map's bits: set for values that three different texts of a quarter of the sample hold.
+    """The map's bytes: 0, or twice the binary logarithm of how many of the sample's texts hold a value, if three of a quarter do.
 
     values gives each text's distinct 64-bit values. What is and isn't in the map may sway how work is dealt out and in
     which order values are tried, so only speed, never a result.
@@ -32,18 +33,15 @@ def frequent(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]]
                     seen.add(k)
                     held.append(own)
         found, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-        often = np.unique(found[counts >= 3] % np.uint64(BITS)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(often)], names=["bit"])
+        often = counts >= 3
+        yield pa.RecordBatch.from_arrays([pa.array((found[often] % np.uint64(CELLS)).astype(np.int32)), pa.array(counts[often])], names=["cell", "n"])
 
-    set_bits = part.mapInArrow(run, "bit int").distinct().toArrow()["bit"].to_numpy()
-    bits = np.zeros(BITS, dtype=bool)
-    bits[set_bits] = True
-    return np.packbits(bits).tobytes()
+    held = part.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = np.zeros(CELLS, dtype=np.uint8)
+    cells[held["cell"].to_numpy()] = np.log2(held["n"].to_numpy()) * 2
+    return cells.tobytes()
 
 
-def bits_of(data: bytes) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(data, dtype=np.uint8)).astype(bool)
-
-
-def is_frequent(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    return bits[(values % np.uint64(BITS)).astype(np.int64)]
+def levels(data: bytes, values: np.ndarray) -> np.ndarray:
+    """The map's byte for each value; 0 if it is not known to be frequent."""
+    return np.frombuffer(data, dtype=np.uint8)[(values % np.uint64(CELLS)).astype(np.int64)]

@@ -3,7 +3,7 @@
 1 - Jaccard is a metric. Documents without a common shingle are all at distance 1 from each other, where no pivot can
 tell them apart, so the join goes by three levels:
 
-1. The pivots are the sets of one shingle each. All shingles stand in one global order, very frequent ones last. If two
+1. The pivots are the sets of one shingle each. All shingles stand in one global order, the more frequent the later. If two
    sets share three quarters, the first shingle in this order that both hold is among the first n - ceil(3n/4) + 1 of
    either, so a document is replicated to the regions of these pivots and to no more.
 2. Each region takes two of its members as pivots. Members that could be linked to them, by sizes, places in the order and
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common, words
-from .frequent import bits_of, frequent, is_frequent
+from .frequent import frequent, levels
 from .tokens import blocks
 
 #: Words of a shingle.
@@ -63,9 +63,9 @@ def _key(own: np.ndarray) -> tuple[int, int]:
 
 
 def _classes(own: np.ndarray) -> bytes:
-    """How many hashes fall in each of 16 to 4096 classes, by their leading bits; at most 65535 is noted."""
+    """How many hashes fall in each of 16 to 4096 classes, by their leading bits; at most 255 is noted."""
     bits = min(12, max(4, int(len(own) // 4).bit_length()))
-    return np.minimum(np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 65535).astype("<u2").tobytes()
+    return np.minimum(np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
 def _regions(docs: DataFrame, often: bytes) -> DataFrame:
@@ -73,7 +73,6 @@ def _regions(docs: DataFrame, often: bytes) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(often)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bits_of(shared.value)
         done: set[tuple[int, int]] = set()
         for batch in (part for whole in batches for part in blocks(whole)):
             nodes, tokens, owners, places, hots = [], [], [], [], []
@@ -83,14 +82,13 @@ def _regions(docs: DataFrame, often: bytes) -> DataFrame:
                 if not n or key in done:
                     continue
                 done.add(key)
-                hot = is_frequent(bits, own)
+                level = levels(shared.value, own)
                 first = n - (3 * n + 3) // 4 + 1
-                cold = own[~hot][:first]
-                rest = own[hot][: first - len(cold)]
-                tokens += [cold, rest]
+                order = np.argsort(level, kind="stable")[:first]
+                tokens.append(own[order])
                 owners.append((*key, n, first))
                 places.append(np.arange(first, dtype=np.int32))
-                hots += [np.zeros(len(cold), bool), np.ones(len(rest), bool)]
+                hots.append(level[order] > 0)
             n, hi, lo, classes = zip(*nodes, strict=True) if nodes else ((), (), (), ())
             void = [pa.nulls(len(nodes), t) for t in (pa.int64(), pa.int32(), pa.bool_())]
             yield pa.RecordBatch.from_arrays([void[0], pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(n, pa.int64()), void[1], void[2], batch.column(0), pa.array(classes, pa.binary())], names=_NAMES)
@@ -124,11 +122,11 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
             keep = []
             for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("ca", "cb", "na", "nb")), strict=True):
-                p, q = np.frombuffer(x, dtype="<u2").astype(np.int32), np.frombuffer(y, dtype="<u2").astype(np.int32)
+                p, q = np.frombuffer(x, dtype=np.uint8).astype(np.int32), np.frombuffer(y, dtype=np.uint8).astype(np.int32)
                 if len(p) > len(q):
                     p, q = q, p
                 q = q.reshape(len(p), -1).sum(axis=1)
-                keep.append(max(p.max(), q.max()) >= 65535 or 7 * int(np.abs(p - q).sum()) <= n + m)
+                keep.append(max(p.max(), q.max()) >= 255 or 7 * int(np.abs(p - q).sum()) <= n + m)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return common.stored(both.select("a", "b", "ca", "cb", "na", "nb").mapInArrow(run, "a long, b long"))
@@ -138,15 +136,15 @@ def block_pairs(node: np.ndarray, n: np.ndarray, pos: np.ndarray, part: np.ndarr
     """The pairs of members of blocks i and j, of different groups, that pass the bounds on sizes, places and class counts."""
     out, by_length = [], {}
     for k, c in enumerate(classes):
-        by_length.setdefault(len(c) // 2, []).append(k)
-    tables = {size: (np.array(ks), np.frombuffer(b"".join(classes[k] for k in ks), dtype="<u2").reshape(len(ks), size).astype(np.int32)) for size, ks in by_length.items()}
+        by_length.setdefault(len(c), []).append(k)
+    tables = {size: (np.array(ks), np.frombuffer(b"".join(classes[k] for k in ks), dtype=np.uint8).reshape(len(ks), size).astype(np.int32)) for size, ks in by_length.items()}
     for size, (left, x) in tables.items():
         for other in (size, 2 * size):  # of linked sets one has at most twice the classes of the other
             if other not in tables:
                 continue
             right, y = tables[other]
             y = y.reshape(len(y), size, -1).sum(axis=2)
-            full = y.max(axis=1) >= 65535
+            full = y.max(axis=1) >= 255
             for k, row in zip(left.tolist(), x, strict=True):
                 able = (part[right] != part[k]) & (4 * n[right] >= 3 * n[k]) & (4 * n[k] >= 3 * n[right]) & (7 * np.minimum(n[right] - pos[right], n[k] - pos[k]) >= 3 * (n[right] + n[k]))
                 able &= (own[right] == j) if own[k] == i else (own[right] == i)
@@ -155,11 +153,23 @@ def block_pairs(node: np.ndarray, n: np.ndarray, pos: np.ndarray, part: np.ndarr
                 at = np.flatnonzero(able)
                 if len(at):
                     far = 7 * np.abs(y[at] - row).sum(axis=1) > n[right[at]] + n[k]
-                    at = at[~far | full[at] | (row.max() >= 65535)]
+                    at = at[~far | full[at] | (row.max() >= 255)]
                     out += [(min(int(node[k]), b), max(int(node[k]), b)) for b in node[right[at]].tolist()]
     return out
 
 
+def _mixed(named: DataFrame) -> DataFrame:
+    """The rows of named (h, node, n, pos, part) in regions of several groups, with c, the region's members.
+
+    Of regions with the same members the first in the global order stays: there any two of them have their first common
+    pivot, if it is one of these. Passages that documents share make many such regions.
+    """
+    # With two pivots, all pairs of up to three members have been looked at.
+    several = named.groupBy("h").agg(F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high"), F.sum("pos").alias("place"), *[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"who{k}") for k in range(2)])
+    several = several.where("c > 3 and low < high").groupBy("who0", "who1", "c").agg(F.min_by("h", F.struct("place", "h")).alias("h"))
+    return named.join(several.select("h", "c"), "h")
+
+
 def _across(mixed: DataFrame, block: int) -> DataFrame:
     """Pairs (a, b) between the groups of each region that could be linked, from rows (h, c, node, n, pos, part, classes); c: the region's members."""
     keys = ["h", "i", "j"]
@@ -389,10 +399,8 @@ def similar(docs: DataFrame, region: int = REGION, block: int = BLOCK) -> DataFr
     stars = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.node") != F.col("y.node")) & _could("x", "y"))
     near = _near(stars.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")), reps)
     groups = common.components(near)
-    # With two pivots, all pairs of up to three members have been looked at.
     named = members.join(groups, F.col("node") == F.col("id"), "left").select("h", "node", "n", "pos", F.coalesce("component", "node").alias("part"))
-    several = named.groupBy("h").agg(F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high")).where("c > 3 and low < high").select("h", "c")
-    mixed = named.join(several, "h").join(reps.select("node", "classes"), "node")
+    mixed = _mixed(named).join(reps.select("node", "classes"), "node")
     groups = common.components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_across(mixed, block)))
     wanted = groups.join(reps, F.col("node") == groups["id"]).select(F.col("component").alias("region"), "node", "n", "hi", "lo", reps["id"].alias("own"))
     wanted = wanted.join(wanted.groupBy("region").agg(F.sum("n").alias("bytes")), "region")

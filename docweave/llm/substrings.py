@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common, words
-from .frequent import bits_of, frequent, is_frequent
+from .frequent import frequent, levels
 
 WINDOW, GRAM = 20, 8
 #: Runs of one anchor that a task holds at once, with WINDOW - GRAM + 1 windows each; an anchor with more is split by whole windows.
@@ -75,7 +75,7 @@ def _survey(docs: DataFrame, often: bytes) -> DataFrame:
     names = ["anchor", "hot", "hi", "lo", "first", "size", "own", "doc_id", "n_words", "sha"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, done = bits_of(shared.value), set()
+        often, done = shared.value, set()
         for batch in batches:
             for s in words.slices(batch.column(1), lower=False):
                 bounds = s.bounds.tolist()
@@ -90,7 +90,7 @@ def _survey(docs: DataFrame, often: bytes) -> DataFrame:
                 keep = fresh[owner]
                 anchor, owner, first, size, own = (x[keep] for x in (anchor, owner, first, size, own))
                 void = lambda t, n=len(anchor): pa.nulls(n, t)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(is_frequent(bits, anchor)), pa.array(hi[owner]), pa.array(lo[owner]), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(own), void(pa.int64()), void(pa.int64()), void(pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(levels(often, anchor) > 0), pa.array(hi[owner]), pa.array(lo[owner]), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(own), void(pa.int64()), void(pa.int64()), void(pa.string())], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "anchor long, hot boolean, hi long, lo long, first int, size int, own boolean, doc_id long, n_words long, sha string")
 
