@@ -234,3 +234,12 @@ def test_vectors_on_the_driver_embeddings(spark):
     assert all(got[i][0] <= want[i][0] for i in want)
     assert sum(n for n, _ in got.values()) >= 0.95 * 2 * len(links)
     assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+
+
+def test_of_regions_with_the_same_members_the_first_is_compared(spark):
+    rows = [(h, node, 30, place + node % 2, node) for h, place in ((7, 3), (8, 1), (9, 5)) for node in range(5)]
+    rows += [(10, node, 30, 0, node) for node in range(1, 6)]  # other members
+    rows += [(11, node, 30, 0, 1) for node in range(6)]  # one group
+    rows += [(12, node, 30, 0, node) for node in range(3)]  # compared in full before
+    mixed = jaccard._mixed(spark.createDataFrame(rows, "h long, node long, n long, pos int, part long"))
+    assert sorted((r.h, r.node, r.c) for r in mixed.collect()) == [(h, k, 5) for h, ks in ((8, range(5)), (10, range(1, 6))) for k in ks]
