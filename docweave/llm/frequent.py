@@ -34,7 +34,7 @@ def frequent(docs: DataFrame, values: Callable[[pa.Array], Iterator[np.ndarray]]
                     held.append(own)
         found, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
         often = counts >= 3
-        yield pa.RecordBatch.from_arrays([pa.array((found[often] % np.uint64(CELLS)).astype(np.int32)), pa.array(counts[often])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array((found[often] % np.uint64(CELLS)).astype(np.int32)), pa.array(counts[often].astype(np.int64))], names=["cell", "n"])
 
     held = part.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells = np.zeros(CELLS, dtype=np.uint8)
