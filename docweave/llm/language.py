@@ -22,8 +22,12 @@ from . import common, words
 
 #: Characters of a gram, and bits of a character: a whole code point.
 ORDER, BITS = 4, 21
-#: Learning documents that calibrate the scores and the rejection, about, by a hash of the id.
-CALIBRATION = 2000
+#: Sharpnesses of the scores to choose from.
+LADDER = [2.0**k for k in range(-1, 8)]
+#: Calibration takes entropies in units of 2**-UNIT nats and logarithms of likelihoods in units of 2**-FIT.
+UNIT, FIT = 36, 44
+#: Bits of an entropy that are told apart at a time where one is looked for by its rank.
+ROUND = 16
 UNDETERMINED = "und"
 #: Grams that are looked up at once, of many short texts or of a part of a long one.
 PART = 1 << 17
@@ -317,11 +321,12 @@ class Model:
         return lang, score, no
 
 
-def learn(docs: DataFrame, calibration: int = CALIBRATION) -> Model:
-    """A model of every language in docs (doc_id, lang, text): counts of all rows, calibrated on a bounded sample.
+def learn(docs: DataFrame) -> Model:
+    """A model of every language in docs (doc_id, lang, text): counts and calibration of all rows with language and text.
 
-    The sharpness of the scores is the one, of a fixed ladder, that gives the sample's labels the highest likelihood;
-    a text is rejected when its entropy is over the sample's 99.9th percentile by more than a tenth.
+    The sharpness of the scores is the one, of a fixed ladder, that gives the labels of all these texts the highest
+    likelihood; a text is rejected when its entropy is over their 99.9th percentile by more than a tenth. Texts without
+    a letter do not calibrate.
     """
     known = docs.where("lang is not null and text is not null")
     counts = common.stored(gram_counts(known))
@@ -331,25 +336,55 @@ def learn(docs: DataFrame, calibration: int = CALIBRATION) -> Model:
     model = Model(languages, _tables(counts, languages, folder) if languages else [])
     common.release(counts)
     if len(model.languages) > 1:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        drawn = common.sampled(known.select("doc_id", "lang", "text"), calibration)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                own = [(x, t) for x, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) if any(map(str.isalpha, t))]
-                h = shared.value.entropies([t for _, t in own]) if own else np.zeros((0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in own], pa.string()), pa.array(h.tolist(), pa.list_(pa.float64()))], names=["lang", "h"])
-
-        sample = drawn.mapInArrow(run, "lang string, h array<double>").toArrow().to_pylist()
-        if sample:
-            h, at = np.array([r["h"] for r in sample]), np.array([model.languages.index(r["lang"]) for r in sample])
-            ladder = [2.0**k for k in range(-1, 8)]
-            fit = [np.mean(-s * h[np.arange(len(at)), at] - np.log(np.exp(-s * (h - h.min(axis=1, keepdims=True))).sum(axis=1)) + s * h.min(axis=1)) for s in ladder]
-            model.sharpness = ladder[int(np.argmax(fit))]
-            model.most = float(np.quantile(h.min(axis=1), 0.999)) * 1.1
+        _calibrate(known, model)
     return model
 
 
+def _calibrate(known: DataFrame, model: Model) -> None:
+    """Set the model's sharpness and bound of rejection from all rows (lang, text); sums are of whole numbers, so that reruns agree."""
+    shared = known.sparkSession.sparkContext.broadcast(model)
+    names = [f"fit{k}" for k in range(len(LADDER))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {x: i for i, x in enumerate(shared.value.languages)}
+        for batch in batches:
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
+                own = [(place[x], t) for x, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if any(map(str.isalpha, t))]
+                if own:
+                    h = shared.value.entropies([t for _, t in own])
+                    least = h.min(axis=1)
+                    over = h - least[:, None]
+                    label = over[np.arange(len(own)), [x for x, _ in own]]
+                    fits = [-s * label - np.log(np.exp(-s * over).sum(axis=1)) for s in LADDER]
+                    whole = [np.rint(np.maximum(least, 0) * 2.0**UNIT), *(np.rint(x * 2.0**FIT) for x in fits)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in whole], names=["least", *names])
+
+    found = common.stored(known.select("lang", "text").mapInArrow(run, ", ".join(f"{x} long" for x in ("least", *names))))
+    n, *fit = found.agg(F.count("*"), *(F.sum(F.col(x).cast("decimal(38,0)")) for x in names)).first()
+    if n:
+        model.sharpness = LADDER[fit.index(max(fit))]
+        at, part = divmod(999 * (n - 1), 1000)  # the percentile lies between two ranks
+        low, high = (_ranked(found, "least", at + k) for k in (1, 2 if part else 1))
+        model.most = (low + (high - low) * part / 1000) * 2.0**-UNIT * 1.1
+    common.release(found)
+
+
+def _ranked(rows: DataFrame, column: str, rank: int) -> int:
+    """The rank-th smallest, from 1 on, of a column of longs from 0 to 2**(3 * ROUND) - 1, by counts in ever finer bins.
+
+    Nothing is sorted or gathered: each round brings at most 2**ROUND counts to the driver, whatever the rows.
+    """
+    found = 0
+    for shift in (2 * ROUND, ROUND, 0):
+        bins = rows.where(F.shiftright(column, shift + ROUND) == found).groupBy(F.shiftright(column, shift).alias("bin")).count()
+        for found, n in sorted(tuple(r) for r in bins.collect()):
+            if rank <= n:
+                break
+            rank -= n
+    return found
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """One row a document: doc_id, lang_pred, score (0 to 1), rejected.
 

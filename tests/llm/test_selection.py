@@ -414,6 +414,38 @@ def test_tables_of_many_files_give_the_same(spark, monkeypatch):
     assert np.allclose(model.entropies(texts), want, atol=1e-5)
 
 
+@pytest.mark.parametrize("wrong", [5, 4000])
+def test_scores_are_calibrated_on_all_learning_documents(spark, wrong):
+    """Against plain figures over every row: more rows than a sample of 2000, ids repeated or null; many labels wrong, or one."""
+    rng = random.Random(8)
+    letters = {"aa": "abcdefg", "bb": "cdefghi", "cc": "efghijk"} if wrong == 5 else {"aa": "abcdef", "bb": "defghi", "cc": "jklmno"}
+    table = []
+    for i in range(4000):
+        lang = rng.choice(list(letters))
+        text = " ".join("".join(rng.choices(letters[lang], k=rng.randint(2, 6))) for _ in range(rng.randint(1, 6) if wrong == 5 else 20))
+        table.append((None if i % 10 == 0 else 7 if i % 10 == 1 else i, rng.choice(list(letters)) if i % wrong == 1 else lang, text))
+    table += [(5000, "aa", "1 2"), (5001, "aa", ""), (5002, None, "x" * 50), (5003, "bb", None)] + [(6000 + i, "cc", "\u0436\u0448" * (i + 1)) for i in range(8)]
+    docs = spark.createDataFrame(table, "doc_id long, lang string, text string").repartition(5)
+    model = language.learn(docs)
+    own = [(x, t) for _, x, t in table if x and t and any(map(str.isalpha, t))]
+    h = model.entropies([t for _, t in own])
+    over = h - h.min(axis=1, keepdims=True)
+    at = [model.languages.index(x) for x, _ in own]
+    fit = {s: np.mean(-s * over[np.arange(len(at)), at] - np.log(np.exp(-s * over).sum(axis=1))) for s in (2.0**k for k in range(-1, 8))}
+    assert model.sharpness == max(fit, key=fit.get)
+    assert model.most == pytest.approx(np.quantile(h.min(axis=1), 0.999) * 1.1, abs=1e-9)
+    again = language.learn(docs.repartition(3))
+    assert (again.sharpness, again.most) == (model.sharpness, model.most)
+
+
+def test_ranks_in_bins(spark):
+    rng = random.Random(9)
+    values = [0, 0, (1 << 48) - 1, 1 << 47] + [rng.randrange(1 << rng.randint(1, 47)) for _ in range(60)] + [77] * 9
+    table = spark.createDataFrame([(v,) for v in values], "v long").repartition(3)
+    for rank in (1, 2, 3, 30, 31, 72, 73):
+        assert language._ranked(table, "v", rank) == sorted(values)[rank - 1]
+
+
 URLS = ["http://Example.NET/en/x?q=1#f", "https://sub.example.net/de/", "ftp://example.com/de/a#b", "http://a.example.com/dex", "HTTP://x.org/fr/", "http://notexample.com/de/", None, "", "no scheme", "a://", "://net/", "http://net", "http://evil.net#/x", "http://a.net?x/y", "x://y://z.net/en/", "http://ÜBER.net/", "http://example.net/en", "http:///en/", "a\n://b.net/x\ny"]
 
 
