@@ -48,17 +48,17 @@ def targets(sized: DataFrame) -> DataFrame:
     MOST times its source's size and the excess is shared anew by weight. In the order of size / weight the stopped
     sources come first, so the level is read off running sums in one pass; no source loop is needed.
     """
-    by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # Each step is written down, so that the plan of a step does not hold those of all steps before, several times over.
+    by_source = common.stored(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     named = running(by_source, [F.col("source").isNull(), F.col("source")], {})
     named = named.withColumn("weight", ((F.col("rank") - 1) % 3 + 1).cast("long")).drop("rank")
-    named = named.withColumn("most", F.col("source_size") * MOST)
+    named = common.stored(named.withColumn("most", F.col("source_size") * MOST))
     ratio = F.col("most").cast("double") / F.col("weight")
     filled = running(named, [ratio, F.col("source").isNull(), F.col("source")], {"most_before": "most", "weight_before": "weight"})
-    total = by_source.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("total"), F.lit(1).alias("one"))
-    weights = named.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("weights"), F.lit(1).alias("one"))
-    filled = filled.withColumn("one", F.lit(1)).join(F.broadcast(total), "one").join(F.broadcast(weights), "one")  # one row each
+    sums = named.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("total"), F.coalesce(F.sum("weight"), F.lit(0)).alias("weights"), F.lit(1).alias("one"))
+    filled = filled.withColumn("one", F.lit(1)).join(F.broadcast(sums), "one")  # one row
     level = (F.col("total") - F.col("most_before")).cast("double") / (F.col("weights") - F.col("weight_before"))
-    filled = filled.withColumn("level", level)
+    filled = common.stored(filled.withColumn("level", level))
     first = filled.where(F.col("level") <= F.col("most").cast("double") / F.col("weight")).agg(F.min_by("level", "rank").alias("share"), F.lit(1).alias("one"))
     share = F.col("share") * F.col("weight")
     return filled.join(F.broadcast(first), "one").select("source", "source_size", F.least(F.col("most").cast("double"), share).alias("target"))
@@ -90,9 +90,9 @@ def _copies(docs: DataFrame, seed: int) -> DataFrame:
     name = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
     goal = goal.withColumn("offset", _digest(F.concat(F.lit(f"{seed}:"), name), 8) / F.lit(4294967296.0))
     # One source may hold most cells, so the documents ahead of each are counted over all sources and the source's start is taken off.
-    cells = running(sized.groupBy("source", "cell").agg(F.count("*").alias("n")), [F.col("source").isNull(), F.col("source"), F.col("cell")], {"ahead": "n"})
+    cells = common.stored(running(sized.groupBy("source", "cell").agg(F.count("*").alias("n")), [F.col("source").isNull(), F.col("source"), F.col("cell")], {"ahead": "n"}))
     starts = cells.groupBy("source").agg(F.min("ahead").alias("start"))
-    goal = goal.alias("g").join(starts.alias("s"), F.col("g.source").eqNullSafe(F.col("s.source"))).select("g.*", "start")
+    goal = common.stored(goal.alias("g").join(starts.alias("s"), F.col("g.source").eqNullSafe(F.col("s.source"))).select("g.*", "start"))
     same = cells["source"].eqNullSafe(goal["source"])
     cells = cells.join(goal, same).select(goal["source"], "cell", (F.col("ahead") - F.col("start")).alias("ahead"), "source_size", "target", "rate", "offset")
     rows = sized.alias("d").join(cells.alias("c"), (F.col("d.cell") == F.col("c.cell")) & F.col("d.source").eqNullSafe(F.col("c.source")))
@@ -110,13 +110,15 @@ def mix(docs: DataFrame, seed: int = 1) -> DataFrame:
     repeated whole, its copies add up.
     """
     # Repeats of an id within a source share the mean: the k-th of n repeats takes its part of the sum.
-    taken = _copies(docs, seed).groupBy("doc_id", "source", "size", "tag").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).alias("r")
+    taken = common.stored(_copies(docs, seed).groupBy("doc_id", "source", "size", "tag").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")))
     packed = docs.select(F.struct("*").alias("row"), common.word_count(F.col("text")).alias("words"), F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")))).alias("own"))
     on = F.col("row.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("row.source").eqNullSafe(F.col("r.source")) & (F.col("words") == F.col("r.size")) & F.col("own").eqNullSafe(F.col("r.tag"))
-    joined = packed.join(taken, on).where("copies > 0").select("row", "words", "own", "copies", "rows")
-    single, repeated = joined.where("rows = 1"), joined.where("rows > 1")
-    turn = Window.partitionBy("row.doc_id", "row.source", "words", "own").orderBy(F.xxhash64("row.text"))
-    rest = F.pmod(F.col("copies"), F.col("rows"))
-    repeated = repeated.withColumn("copies", F.floor(F.col("copies") / F.col("rows")) + (F.row_number().over(turn) <= rest).cast("long"))
+    joined = packed.join(taken.alias("r"), on).where("copies > 0").select("row", "words", "own", "copies", "rows")
     times = lambda df: df.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
-    return times(single).unionByName(times(repeated.where("copies > 0")))
+    out = times(joined.where("rows = 1"))
+    if not taken.where("rows > 1").isEmpty():
+        turn = Window.partitionBy("row.doc_id", "row.source", "words", "own").orderBy(F.xxhash64("row.text"))
+        rest = F.pmod(F.col("copies"), F.col("rows"))
+        repeated = joined.where("rows > 1").withColumn("copies", F.floor(F.col("copies") / F.col("rows")) + (F.row_number().over(turn) <= rest).cast("long"))
+        out = out.unionByName(times(repeated.where("copies > 0")))
+    return out

@@ -88,6 +88,12 @@ def test_mix_keeps_columns_of_any_name(spark):
     assert any(r.doc_id is None for r in out.collect())
 
 
+def test_mixing_plans_are_cut_at_each_step(spark):
+    docs = frame(spark, [(i, "a b c", None, "xy"[i % 2], None, None, None, None) for i in range(20)])
+    for out in (mixing.mix(docs), mixing.copies(docs)):  # the driver holds, plans anew and reports each stage of a plan
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 8
+
+
 def test_mixing_of_nothing(spark):
     empty = frame(spark, []).where("false")
     assert mixing.copies(empty).collect() == [] == mixing.mix(empty).collect()
