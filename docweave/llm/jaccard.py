@@ -206,19 +206,41 @@ def _pairs(out: Collection[tuple[int, int]]) -> pa.RecordBatch:
 
 
 class _Sets:
-    """Sets of one region, and how many members each shares with a given one."""
+    """Sets of one region, and how many members each shares with a given one.
+
+    Values that more than a sixteenth of the sets hold are columns of bits, the others lists of the sets that hold them: near
+    copies have most of their values in common, and a list of each would be as long as the region.
+    """
 
     def __init__(self, sets: list[np.ndarray]) -> None:
         self.size = np.array([len(s) for s in sets])
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.size)
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), self.size)
         order = np.argsort(flat, kind="stable")
-        self.flat, self.owner = flat[order], owner[order]
+        flat, owner = flat[order], owner[order]
+        first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]][: len(flat)])
+        self.values, count = flat[first], np.diff(np.r_[first, len(flat)])
+        often = count > max(64, len(sets) // 16)
+        self.column = np.where(often, np.cumsum(often) - 1, -1)
+        self.bits = np.zeros((-(-int(often.sum()) // 64), len(sets)), dtype=np.uint64)
+        held, column = np.repeat(often, count), np.repeat(self.column[often], count[often])
+        np.bitwise_or.at(self.bits, (column >> 6, owner[held]), np.uint64(1) << (column & 63).astype(np.uint64))
+        self.owner, self.count = owner[~held], np.where(often, 0, count)
+        self.start = np.cumsum(self.count) - self.count
 
     def shared(self, own: np.ndarray) -> np.ndarray:
-        low, high = np.searchsorted(self.flat, own, side="left"), np.searchsorted(self.flat, own, side="right")
-        n = high - low
-        at = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        return np.bincount(self.owner[at], minlength=len(self.size))
+        at = np.searchsorted(self.values, own)
+        at = at[self.values[np.minimum(at, len(self.values) - 1)] == own] if len(self.values) else at[:0]
+        n = self.count[at]
+        listed = np.repeat(self.start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        out = np.bincount(self.owner[listed], minlength=len(self.size))
+        column = self.column[at]
+        column = column[column >= 0]
+        if len(column):
+            asked = np.zeros(len(self.bits), dtype=np.uint64)
+            np.bitwise_or.at(asked, column >> 6, np.uint64(1) << (column & 63).astype(np.uint64))
+            used = np.flatnonzero(asked)
+            out += np.bitwise_count(self.bits[used] & asked[used, None]).sum(axis=0, dtype=np.int64)
+        return out
 
 
 def _linked(shared: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
@@ -229,38 +251,35 @@ def region_links(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]
     """Links that connect what is connected among the documents of one region, exactly.
 
     The first document is the pivot. All within 0.25 of it are one component, so pairs among these need no look. Of the
-    others only those within 0.5 can be linked to one in the ball, and only to members whose distance to the pivot
-    differs by at most 0.25. What is outside the ball goes on with the next pivot.
+    others only those no more than 0.25 farther than the farthest of this ball can be linked to one in it, and only those
+    of other components matter. What is outside the ball goes on with the next pivot. A document that has been compared
+    with all is done, so none is compared twice.
     """
     index, out = _Sets(sets), []
     root = np.arange(len(ids))
     active = np.ones(len(ids), dtype=bool)
 
-    def join(x: int, y: int) -> None:
-        out.append((ids[x], ids[y]))
-        root[root == root[y]] = root[x]
+    def look(x: int) -> tuple[np.ndarray, np.ndarray]:
+        """Join x with all that is linked to it: the distances from it, and what is linked."""
+        active[x] = False
+        shared = index.shared(sets[x])
+        linked = _linked(shared, len(sets[x]), index.size)
+        for y in np.flatnonzero(linked & (root != root[x])).tolist():
+            if root[y] != root[x]:
+                out.append((ids[x], ids[y]))
+                root[root == root[y]] = root[x]
+        return 1 - shared / (len(sets[x]) + index.size - shared), linked
 
     for p in range(len(ids)):
         if not active[p]:
             continue
-        active[p] = False
-        shared = index.shared(sets[p])
-        far = 1 - shared / (len(sets[p]) + index.size - shared)
-        ball = active & _linked(shared, len(sets[p]), index.size)
-        for x in np.flatnonzero(ball):
-            if root[x] != root[p]:
-                join(p, int(x))
-        active &= ~ball
-        inside = np.flatnonzero(ball)
-        if not len(inside):
-            continue
-        for y in np.flatnonzero(active & (far <= 0.5 + 1e-9)):
-            window = inside[(far[inside] >= far[y] - 0.25 - 1e-9) & (root[inside] != root[y])]
-            if len(window):
-                both = index.shared(sets[y])[window]
-                hit = window[_linked(both, len(sets[y]), index.size[window])]
-                if len(hit):
-                    join(int(hit[0]), int(y))
+        far, linked = look(p)
+        inside = active & linked
+        active &= ~inside
+        if inside.any():
+            for y in np.flatnonzero(active & (root != root[p]) & (far <= far[inside].max() + 0.25 + 1e-9)).tolist():
+                if root[y] != root[p]:
+                    look(y)
     return out
 
 

@@ -175,6 +175,38 @@ def test_region_links_connect_what_is_linked():
         assert brute.components(ids, found) == brute.components(ids, links)
 
 
+def edited(rng, size, most, n):
+    """n sets of one text of so many words, each with up to so many words of its own."""
+    base, out = rng.integers(0, 1 << 60, size), []
+    for _ in range(n):
+        words = base.copy()
+        words[rng.integers(0, size, rng.integers(0, most))] = rng.integers(0, 1 << 60)
+        out.append(np.unique(np.lib.stride_tricks.sliding_window_view(words, 5).astype(np.uint64) @ np.array([3, 5, 7, 11, 13], dtype=np.uint64)))
+    return out
+
+
+def test_region_links_compare_a_document_with_the_region_once(monkeypatch):
+    """Copies whose edits leave many of them linked to no other, or to a few only, in a region of many balls."""
+    rng = np.random.default_rng(11)
+    sets = edited(rng, 120, 9, 400)
+    links = [(i, j) for i in range(400) for j in range(i) if 100 * (s := len(np.intersect1d(sets[i], sets[j], assume_unique=True))) >= 75 * (len(sets[i]) + len(sets[j]) - s)]
+    want = brute.components(range(400), links)
+    assert 40 < len(set(want.values())) < 300
+    asked, shared = [], jaccard._Sets.shared
+    monkeypatch.setattr(jaccard._Sets, "shared", lambda self, own: asked.append(own.tobytes()) or shared(self, own))
+    assert brute.components(range(400), jaccard.region_links(list(range(400)), sets)) == want
+    assert len(asked) <= 400
+
+
+def test_shared_counts_of_common_and_rare_values():
+    rng = np.random.default_rng(12)
+    sets = [*edited(rng, 150, 12, 200), *edited(rng, 20, 3, 5), np.arange(3, dtype=np.uint64)]
+    index = jaccard._Sets(sets)
+    assert len(index.bits) > 1 and len(index.owner)
+    for own in [sets[0], sets[7], sets[202], sets[205], np.unique(np.r_[sets[3][:40], sets[201], [np.uint64(1), np.uint64((1 << 64) - 1)]]), sets[0][:0]]:
+        assert index.shared(own).tolist() == [len(np.intersect1d(own, s)) for s in sets]
+
+
 def test_empty_tables(spark):
     docs = frame(spark, []).where("false")
     assert substrings.digests(docs).collect() == []
