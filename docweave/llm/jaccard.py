@@ -38,6 +38,8 @@ SHINGLE = 5
 BLOCK = 512
 #: Shingles of a group, of 8 bytes each, that one task holds, and the documents that split a larger one into cells.
 REGION, PIVOTS = 1 << 22, 8
+#: Members of a region of which a group with half of them takes in the small groups, of less than a quarter as many documents.
+DENSE = 16
 #: Levels of cells before what is still too large is compared in blocks.
 DEPTH = 4
 
@@ -132,27 +134,39 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return common.stored(both.select("a", "b", "ca", "cb", "na", "nb").mapInArrow(run, "a long, b long"))
 
 
+def _folded(counts: np.ndarray, size: int) -> np.ndarray:
+    """Rows of class counts as counts of so many, wider classes."""
+    return counts.reshape(len(counts), size, -1).sum(axis=2)
+
+
 def block_pairs(node: np.ndarray, n: np.ndarray, pos: np.ndarray, part: np.ndarray, own: np.ndarray, i: int, j: int, classes: list[bytes]) -> list[tuple[int, int]]:
-    """The pairs of members of blocks i and j, of different groups, that pass the bounds on sizes, places and class counts."""
+    """The pairs of members of blocks i and j, of different groups, that pass the bounds on sizes, places and class counts.
+
+    Of each pair one at least is outside the largest group, so only those outside are compared with all.
+    """
     out, by_length = [], {}
     for k, c in enumerate(classes):
         by_length.setdefault(len(c), []).append(k)
     tables = {size: (np.array(ks), np.frombuffer(b"".join(classes[k] for k in ks), dtype=np.uint8).reshape(len(ks), size).astype(np.int32)) for size, ks in by_length.items()}
+    names, which, counts = np.unique(part, return_inverse=True, return_counts=True)
+    outside = which != counts.argmax()
     for size, (left, x) in tables.items():
-        for other in (size, 2 * size):  # of linked sets one has at most twice the classes of the other
+        asks = outside[left]
+        if not asks.any():
+            continue
+        for other in (size // 2, size, 2 * size):  # of linked sets one has at most twice the classes of the other
             if other not in tables:
                 continue
             right, y = tables[other]
-            y = y.reshape(len(y), size, -1).sum(axis=2)
-            full = y.max(axis=1) >= 255
-            for k, row in zip(left.tolist(), x, strict=True):
+            mine, theirs = _folded(x[asks], min(size, other)), _folded(y, min(size, other))
+            full = theirs.max(axis=1) >= 255
+            for k, row in zip(left[asks].tolist(), mine, strict=True):
                 able = (part[right] != part[k]) & (4 * n[right] >= 3 * n[k]) & (4 * n[k] >= 3 * n[right]) & (7 * np.minimum(n[right] - pos[right], n[k] - pos[k]) >= 3 * (n[right] + n[k]))
                 able &= (own[right] == j) if own[k] == i else (own[right] == i)
-                if size == other:
-                    able &= right > k
+                able &= ~outside[right] | (right > k)
                 at = np.flatnonzero(able)
                 if len(at):
-                    far = 7 * np.abs(y[at] - row).sum(axis=1) > n[right[at]] + n[k]
+                    far = 7 * np.abs(theirs[at] - row).sum(axis=1) > n[right[at]] + n[k]
                     at = at[~far | full[at] | (row.max() >= 255)]
                     out += [(min(int(node[k]), b), max(int(node[k]), b)) for b in node[right[at]].tolist()]
     return out
@@ -170,6 +184,26 @@ def _mixed(named: DataFrame) -> DataFrame:
     return named.join(several.select("h", "c"), "h")
 
 
+def _taken_in(mixed: DataFrame, groups: DataFrame) -> DataFrame:
+    """Small groups (part) that go to the group (main) with half of a region's members or more, from rows of _mixed().
+
+    A group is a region of the next level, where the join is exact, so one too large loses nothing; and a near copy of so
+    many documents costs less there than if it were compared with nearly all of them at each shingle. Each goes to one
+    group, and that one is not small, so groups are not strung together.
+    """
+    parts = mixed.where(F.col("c") >= DENSE).groupBy("h", "part").agg(F.count("*").alias("k"), F.first("c").alias("c"))
+    main = parts.groupBy("h").agg(F.max(F.struct("k", "part")).alias("top"), F.first("c").alias("c")).where("2 * top.k >= c").select("h", "top")
+    moved = parts.join(main, "h").where("part <> top.part").groupBy("part").agg(F.max("top").alias("top")).select("part", F.col("top.part").alias("main"))
+    large = groups.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") * 4 >= DENSE)
+    return moved.join(large, F.col("part") == F.col("component"), "left_anti")
+
+
+def _renamed(mixed: DataFrame, moved: DataFrame) -> DataFrame:
+    """Rows of _mixed() with the groups that _taken_in() gives, of regions that are still of several."""
+    rows = mixed.join(moved, "part", "left").withColumn("part", F.coalesce("main", "part")).drop("main")
+    return rows.join(rows.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("h"), "h")
+
+
 def _across(mixed: DataFrame, block: int) -> DataFrame:
     """Pairs (a, b) between the groups of each region that could be linked, from rows (h, c, node, n, pos, part, classes); c: the region's members."""
     keys = ["h", "i", "j"]
@@ -419,8 +453,11 @@ def similar(docs: DataFrame, region: int = REGION, block: int = BLOCK) -> DataFr
     near = _near(stars.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")), reps)
     groups = common.components(near)
     named = members.join(groups, F.col("node") == F.col("id"), "left").select("h", "node", "n", "pos", F.coalesce("component", "node").alias("part"))
-    mixed = _mixed(named).join(reps.select("node", "classes"), "node")
-    groups = common.components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_across(mixed, block)))
+    mixed = common.stored(_mixed(named))
+    moved = common.stored(_taken_in(mixed, groups))
+    mixed = _renamed(mixed, moved).join(reps.select("node", "classes"), "node")
+    edges = groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(moved.select(F.col("part").alias("a"), F.col("main").alias("b")))
+    groups = common.components(edges.unionByName(_across(mixed, block)))
     wanted = groups.join(reps, F.col("node") == groups["id"]).select(F.col("component").alias("region"), "node", "n", "hi", "lo", reps["id"].alias("own"))
     wanted = wanted.join(wanted.groupBy("region").agg(F.sum("n").alias("bytes")), "region")
     texts = common.stored(docs.join(wanted, F.col("doc_id") == F.col("own")).select("region", "node", "n", "hi", "lo", "text", "bytes"))

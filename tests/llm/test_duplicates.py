@@ -207,6 +207,54 @@ def test_shared_counts_of_common_and_rare_values():
         assert index.shared(own).tolist() == [len(np.intersect1d(own, s)) for s in sets]
 
 
+@pytest.mark.parametrize(("i", "j"), [(0, 0), (0, 1)])
+def test_block_pairs_are_those_of_different_groups_within_the_bounds(i, j):
+    rng = np.random.default_rng(13)
+    sets = [*edited(rng, 70, 5, 30), *edited(rng, 68, 5, 30), *edited(rng, 66, 5, 30), np.unique(np.r_[0:70]).astype(np.uint64)]  # 16 and 32 classes
+    n, classes = np.array([len(s) for s in sets]), [jaccard._classes(s) for s in sets]
+    assert len({len(c) for c in classes}) == 2
+    node, pos, part, own = rng.permutation(len(sets)), rng.integers(0, 9, len(sets)), np.minimum(rng.integers(0, 12, len(sets)), 4), rng.integers(i, j + 1, len(sets))
+    want = set()
+    for a in range(len(sets)):
+        for b in range(a):
+            p, q = (np.frombuffer(classes[k], dtype=np.uint8).astype(int).reshape(16, -1).sum(axis=1) for k in (a, b))
+            if len(classes[a]) == len(classes[b]):
+                p, q = (np.frombuffer(classes[k], dtype=np.uint8).astype(int) for k in (a, b))
+            able = part[a] != part[b] and {own[a], own[b]} == {i, j} and 4 * n[a] >= 3 * n[b] and 4 * n[b] >= 3 * n[a] and 7 * min(n[a] - pos[a], n[b] - pos[b]) >= 3 * (n[a] + n[b])
+            if able and (max(p.max(), q.max()) >= 255 or 7 * abs(p - q).sum() <= n[a] + n[b]):
+                want.add((min(node[a], node[b]), max(node[a], node[b])))
+    found = jaccard.block_pairs(node, n, pos, part, own, i, j, classes)
+    assert want and len(found) == len(want) and set(found) == want
+
+
+def test_a_group_with_half_of_a_region_takes_in_the_small_ones(spark):
+    """Region 1: group 100 has 12 of 18, two documents alone go to it, group 200 is too large. Region 2 is not dense, region 3 has no such group."""
+    rows = [(1, 18, k, 100) for k in range(12)] + [(1, 18, k, k) for k in (50, 51)] + [(1, 18, k, 200) for k in range(60, 64)]
+    rows += [(2, 4, k, 100) for k in range(3)] + [(2, 4, 52, 52)]
+    rows += [(3, 16, k, k) for k in range(70, 86)]
+    mixed = spark.createDataFrame([(h, node, 30, 0, part, c) for h, c, node, part in rows], "h long, node long, n long, pos int, part long, c long")
+    groups = spark.createDataFrame([(k, 100) for k in range(12)] + [(k, 200) for k in range(60, 64)], "id long, component long")
+    moved = jaccard._taken_in(mixed, groups)
+    assert sorted(tuple(r) for r in moved.collect()) == [(50, 100), (51, 100)]
+    left = jaccard._renamed(mixed.where("part <> 200"), moved)
+    assert sorted({(r.h, r.c) for r in left.collect()}) == [(2, 4), (3, 16)]
+    assert {r.part for r in jaccard._renamed(mixed, moved).where("h = 1").collect()} == {100, 200}
+
+
+def test_jaccard_on_a_cluster_with_copies_linked_to_none(spark):
+    rng = random.Random(14)
+    base, table = [f"b{i}" for i in range(100)], []
+    for k in range(120):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 3, 4, 4, 5])):
+            w[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        table.append((k, " ".join(w), None, None, None, 0, "c", "t"))
+    want = brute.similar(unique(table))
+    assert 1 < len({c for _, c in want.values()}) < 110
+    for region in (1 << 22, 2000):
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar(frame(spark, table), region, 30).collect()} == want
+
+
 def test_empty_tables(spark):
     docs = frame(spark, []).where("false")
     assert substrings.digests(docs).collect() == []
