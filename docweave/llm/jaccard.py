@@ -8,7 +8,8 @@ tell them apart, so the join goes by three levels:
    either, so a document is replicated to the regions of these pivots and to no more.
 2. Each region takes two of its members as pivots. Members that could be linked to them, by sizes, places in the order and
    counts of shingles by class of a hash (no two sets differ by less than their counts do), join them in one group. Where
-   a region's members then are of several groups, those of different groups are compared in blocks by the same bounds.
+   a region's members then are of several groups, small ones go to a group that holds half of it, and what is still of
+   different groups is compared in blocks by the same bounds.
 3. A group is a region of whole sets. A task joins one exactly: what lies within 0.25 of a pivot is linked, the rest is
    compared only inside the windows that the triangle inequality leaves. A group over the byte budget is split into the
    Voronoi cells of several of its members; a document is replicated to each cell whose pivot is at most 0.5 farther than
